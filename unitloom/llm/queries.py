@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat, quality, url_filter, warc
+from .language import identify
+from .media import media_table
 from .minhash import MinHashSpec, near_duplicates
+from .mixing import mix_sources
+from .packing import pack_documents
 from .relative_lz import cut_spans
 
 
@@ -12,6 +18,43 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics, and rejection by robust Mahalanobis distance per language and source."""
+    return quality.robust_outliers(table(spark, folder, "documents")).drop("stratum", "distance2")
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of four rules on every page's url."""
+    return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.rule_table(spark, url_filter.RULES))
+
+
+def op3_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces in bins of several lengths."""
+    return pack_documents(table(spark, folder, "documents"))
+
+
+def op4_media(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text stored as a PNG in tar shards and read back."""
+    return media_table(table(spark, folder, "documents"))
+
+
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's calibrated probability, and whether it is drawn."""
+    return mix_sources(table(spark, folder, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page archived and read back."""
+    return warc.archived(table(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language, learned from the four fifths that are not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = lambda: F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return identify(docs, ~held_out()).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate classes over 2-word shingles at Jaccard 0.8."""
     return near_duplicates(table(spark, folder, "documents"), MinHashSpec(shingle=2, percent=80))
@@ -22,9 +65,15 @@ def op9_relative_lz(spark: SparkSession, folder: str) -> DataFrame:
     return cut_spans(table(spark, folder, "documents").select("doc_id", "text"), least=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message, mailed with two levels of quotation, linked to what it quotes and freed of quotes."""
+    return chat.link_replies(chat.as_mail(table(spark, folder, "conversations")))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op8_minhash, op9_relative_lz)}
+    found = (op1_robust_outliers, op2_url_filter, op3_best_fit, op4_media, op5_mixing, op6_warc, op7_language, op8_minhash, op9_relative_lz, op10_quotation_links)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_robust_outliers": quality.oracle(), "op2_url_filter": url_filter.ORACLE, "op6_warc": warc.ORACLE, "op10_quotation_links": chat.ORACLE}
