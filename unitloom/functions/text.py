@@ -27,6 +27,17 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def let(values: dict[str, Column], body) -> Column:
+    """body over values that are worked out once. Inside a higher-order function an outer expression would be worked out anew
+    for each element; bound here it is a variable."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(n) for n, c in values.items()])), lambda s: body(*[s[n] for n in values])), F.lit(0))
+
+
+def woven(pieces: Column, between: Column) -> Column:
+    """Pieces of a split with an array's elements between them, in order."""
+    return F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.coalesce(F.get(between, i), F.lit("")))), "")
+
+
 def listed(values: Column) -> Column:
     """Strings as a bracketed, quoted list."""
     return F.concat(F.lit("["), F.array_join(F.transform(values, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]"))
@@ -57,10 +68,10 @@ def finish(text: Column) -> Column:
 def unmask(text: Column, spans: Column, titles: Column | None = None) -> Column:
     """Placeholders replaced by their Markdown, in one pass over the pieces between them; a section reference by its title, if
     titles (a map from id) has it; unknown placeholders stay."""
-    held = F.transform(placeholders(text), lambda p: _resolved(p, spans, titles))
-    pieces = F.split(text, PLACEHOLDER, -1)
-    joined = F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.coalesce(F.get(held, i), F.lit("")))), "")
-    return finish(joined)
+    def restored(keys: Column, pieces: Column) -> Column:
+        return let({"held": F.transform(keys, lambda p: _resolved(p, spans, titles))}, lambda held: woven(pieces, held))
+
+    return finish(F.when(F.contains(text, F.lit("⟦")), let({"keys": placeholders(text), "pieces": F.split(text, PLACEHOLDER, -1)}, restored)).otherwise(text))
 
 
 def _resolved(key: Column, spans: Column, titles: Column | None) -> Column:
@@ -79,13 +90,16 @@ def unmask_strict(text: Column, spans: Column, titles: Column | None = None) ->
 
 def placeholder_error(translated: Column, source: Column) -> Column:
     """Null if both hold the same bag of placeholders, else what is wrong: unknown ones before duplicated before missing."""
-    got, want = placeholders(translated), placeholders(source)
     times = lambda arr, x: F.size(F.filter(arr, lambda y: y == x))
-    unknown = F.array_sort(F.array_except(got, want))
-    twice = F.array_sort(F.array_distinct(F.filter(got, lambda x: times(got, x) > times(want, x))))
-    gone = F.array_sort(F.array_distinct(F.filter(want, lambda x: times(got, x) < times(want, x))))
     told = lambda what, arr: F.concat(F.lit(f"{what} placeholders: "), F.array_join(arr, " "))
-    return F.when(F.array_sort(got) == F.array_sort(want), None).when(F.size(unknown) > 0, told("unknown", unknown)).when(F.size(twice) > 0, told("duplicated", twice)).otherwise(told("missing", gone))
+
+    def judged(got: Column, want: Column) -> Column:
+        unknown = F.array_sort(F.array_except(got, want))
+        twice = F.array_sort(F.array_distinct(F.filter(got, lambda x: times(got, x) > times(want, x))))
+        gone = F.array_sort(F.array_distinct(F.filter(want, lambda x: times(got, x) < times(want, x))))
+        return F.when(F.array_sort(got) == F.array_sort(want), None).when(F.size(unknown) > 0, told("unknown", unknown)).when(F.size(twice) > 0, told("duplicated", twice)).otherwise(told("missing", gone))
+
+    return let({"got": placeholders(translated), "want": placeholders(source)}, judged)
 
 
 def mask_protected(text: Column, terms: list[str], patterns: list[str] = ()) -> Column:
@@ -95,12 +109,14 @@ def mask_protected(text: Column, terms: list[str], patterns: list[str] = ()) ->
     if not alternatives:
         return F.struct(clean.alias("text"), F.create_map().cast("map<string,struct<type:string,md:string,rid:string>>").alias("spans"))
     protected = r"(?U)(?<!\w)(?:" + "|".join(alternatives) + r")(?!\w)"
-    found, pieces = matches(clean, protected), F.split(clean, protected, -1)
     key = lambda i: F.concat(F.lit("⟦N"), (i + 1).cast("string"), F.lit("⟧"))
-    n = F.size(found)
-    masked = F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.when(i < n, key(i)).otherwise(""))), "")
-    spans = F.map_from_entries(F.transform(found, lambda x, i: F.struct(key(i).alias("key"), F.struct(F.lit("N").alias("type"), x.alias("md"), F.lit(None).cast("string").alias("rid")).alias("value"))))
-    return F.struct(masked.alias("text"), spans.alias("spans"))
+
+    def made(found: Column, pieces: Column) -> Column:
+        masked = F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.when(i < F.size(found), key(i)).otherwise(""))), "")
+        spans = F.map_from_entries(F.transform(found, lambda x, i: F.struct(key(i).alias("key"), F.struct(F.lit("N").alias("type"), x.alias("md"), F.lit(None).cast("string").alias("rid")).alias("value"))))
+        return F.struct(masked.alias("text"), spans.alias("spans"))
+
+    return let({"found": matches(clean, protected), "pieces": F.split(clean, protected, -1)}, made)
 
 
 # numbers -----------------------------------------------------------------------------------------------------------------
@@ -130,8 +146,7 @@ def sentences(text: Column) -> Column:
 
 
 def last_sentences(text: Column, n: int = 2) -> Column:
-    s = sentences(text)
-    return F.array_join(F.slice(s, F.greatest(F.lit(1), F.size(s) - n + 1), F.lit(n)), " ")
+    return let({"s": sentences(text)}, lambda s: F.array_join(F.slice(s, F.greatest(F.lit(1), F.size(s) - n + 1), F.lit(n)), " "))
 
 
 def plain_marks(text: Column) -> Column:
@@ -152,8 +167,8 @@ def whole_word(term: str) -> str:
 
 def all_stems_present(alternative: Column, text: Column) -> Column:
     """Whether each word of the alternative has a word in text that starts with its stem."""
-    words = F.transform(matches(plain_marks(text), WORD), lambda w: F.lower(w))
-    return F.forall(matches(alternative, WORD), lambda a: F.exists(words, lambda w: F.startswith(w, stem(a))))
+    words = F.array_distinct(matches(F.lower(plain_marks(text)), WORD))
+    return let({"words": words}, lambda ws: F.forall(matches(alternative, WORD), lambda a: F.exists(ws, lambda w: F.startswith(w, stem(a)))))
 
 
 def is_upper(text: Column) -> Column:

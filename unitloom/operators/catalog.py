@@ -115,9 +115,8 @@ CAPTION = r"<strong>(?:Рис|Fig|Таблица)\.? [^<]*</strong>.*?"
 
 def woven(text: Column, pattern: str, inside, outside) -> Column:
     """Matches and what lies between them, each changed in its own way, in order."""
-    pieces, found = F.transform(F.split(text, pattern, -1), outside), X.matches(text, pattern)
-    changed = F.transform(found, inside)
-    return F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.coalesce(F.get(changed, i), F.lit("")))), "")
+    bound = lambda pieces, found: X.let({"p": F.transform(pieces, lambda x: outside(x)), "f": F.transform(found, lambda x: inside(x))}, X.woven)
+    return X.let({"pieces": F.split(text, pattern, -1), "found": X.matches(text, pattern)}, bound)
 
 
 def same(x: Column) -> Column:
@@ -143,11 +142,11 @@ def link_dois(body: Column) -> Column:
 def anchor_references(body: Column) -> Column:
     """ref-N ids on the items of the reference list; an item with an id keeps it but counts."""
 
+    item = r"(?i)<li\b[^>]*>"
+    named = lambda li, i: F.when(li.rlike(r"(?i)\bid\s*="), li).otherwise(F.concat(F.lit('<li id="ref-'), (i + 1).cast("string"), F.lit('"'), F.substring(li, F.lit(4), F.length(li))))
+
     def numbered(ol: Column) -> Column:
-        items, pieces = X.matches(ol, r"(?i)<li\b[^>]*>"), F.split(ol, r"(?i)<li\b[^>]*>", -1)
-        named = lambda li, i: F.when(li.rlike(r"(?i)\bid\s*="), li).otherwise(F.concat(F.lit('<li id="ref-'), (i + 1).cast("string"), F.lit('"'), F.substring(li, F.lit(4), F.length(li))))
-        tags = F.transform(items, named)
-        return F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.coalesce(F.get(tags, i), F.lit("")))), "")
+        return X.let({"pieces": F.split(ol, item, -1), "tags": F.transform(X.matches(ol, item), named)}, X.woven)
 
     return woven(body, REFERENCES, numbered, same)
 
@@ -164,7 +163,9 @@ def figure_boxes(body: Column) -> Column:
     return woven(boxed, r'(?s)<div class="figure-box">.*?</div>', same, alone)
 
 
-def decorate(body: Column) -> Column:
-    """All marks, in order."""
-    listed = F.regexp_replace(lazy_images(figure_boxes(body)), r"(<h2>Список литературы</h2>\s*)<ol[^>]*>", '$1<ol class="references">')
-    return link_citations(link_dois(anchor_references(listed)))
+def decorate(pages: DataFrame, body: str) -> DataFrame:
+    """All marks on a column, in order; a projection for each, as one expression would nest too deep."""
+    listed = lambda c: F.regexp_replace(c, r"(<h2>Список литературы</h2>\s*)<ol[^>]*>", '$1<ol class="references">')
+    for mark in (figure_boxes, lazy_images, listed, anchor_references, link_dois, link_citations):
+        pages = pages.withColumn(body, mark(F.col(body)))
+    return pages

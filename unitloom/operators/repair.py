@@ -15,35 +15,33 @@ from .verify import translated_pairs
 ROUNDS = 2
 
 
-def zipped(pieces: Column, between: Column) -> Column:
-    """Pieces of a split with other text between them."""
-    return F.array_join(F.transform(pieces, lambda x, i: F.concat(x, F.coalesce(F.get(between, i), F.lit("")))), "")
-
-
 def restore_numbers(source: Column, target: Column) -> Column:
     """Decimal commas of the target to points; then, if both have as many numbers, the source's in the target's places. Digits of
     placeholders are not numbers."""
-    pointed = X.decimal_points(target)
-    # placeholders' own digits are hidden behind letters of a private area while numbers are found
-    held = X.placeholders(pointed)
-    hidden = F.regexp_replace(pointed, X.PLACEHOLDER, "")
-    want, pieces = X.matches(X.strip_placeholders(source), X.NUMBER), F.split(hidden, X.NUMBER, -1)
-    swapped = zipped(pieces, want)
-    shown = zipped(F.split(swapped, "", -1), held)
-    return F.when(F.size(pieces) - 1 == F.size(want), shown).otherwise(pointed)
+    HIDDEN = "\ue000"  # stands for a placeholder while numbers are found
+
+    def swapped(pointed: Column, held: Column, want: Column, pieces: Column) -> Column:
+        filled = X.let({"parts": F.split(X.woven(pieces, want), HIDDEN, -1)}, lambda parts: X.woven(parts, held))
+        return F.when(F.size(pieces) - 1 == F.size(want), filled).otherwise(pointed)
+
+    def bound(pointed: Column) -> Column:
+        hidden = F.regexp_replace(pointed, X.PLACEHOLDER, HIDDEN)
+        return X.let({"pointed": pointed, "held": X.placeholders(pointed), "want": X.matches(X.strip_placeholders(source), X.NUMBER), "pieces": F.split(hidden, X.NUMBER, -1)}, swapped)
+
+    return X.let({"pointed": X.decimal_points(target)}, bound)
 
 
 def restore_links(source: Column, target: Column) -> Column:
     """If both have as many links, the source's in the target's places."""
-    want, got, pieces = X.matches(source, X.LINK), X.matches(target, X.LINK), F.split(target, X.LINK, -1)
-    return F.when((F.size(want) == F.size(got)) & (want != got), zipped(pieces, want)).otherwise(target)
+    filled = lambda want, got, pieces: F.when((F.size(want) == F.size(got)) & (want != got), X.woven(pieces, want))
+    return F.coalesce(X.let({"want": X.matches(source, X.LINK), "got": X.matches(target, X.LINK), "pieces": F.split(target, X.LINK, -1)}, filled), target)
 
 
 def mechanical(source: Column, target: Column, checks: Column) -> Column:
     """The target mechanically mended for the failed checks; null if nothing changes."""
     numbered = F.when(F.array_contains(checks, "numbers") | target.rlike(r"(?U)(?<=\d),(?=\d)"), restore_numbers(source, target)).otherwise(target)
-    linked = F.when(F.array_contains(checks, "links") | (X.matches(source, X.LINK) != X.matches(numbered, X.LINK)), restore_links(source, numbered)).otherwise(numbered)
-    return F.nullif(linked, target)
+    # links that agree are left as they are, so no condition is needed
+    return F.nullif(X.let({"n": numbered}, lambda n: restore_links(source, n)), target)
 
 
 def same_links(source: Column, target: Column) -> Column:

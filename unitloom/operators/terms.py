@@ -140,8 +140,7 @@ def present(ru: Column, text: Column) -> Column:
 
 
 def abbreviation_kept(caps: Column, text: Column) -> Column:
-    words = X.matches(text, r"(?U)\w+")
-    return F.exists(caps, lambda a: F.array_contains(words, a))
+    return F.arrays_overlap(caps, X.matches(text, r"(?U)\w+"))
 
 
 def missing_terms(pairs: DataFrame, terms: list[Term]) -> DataFrame:
@@ -167,7 +166,7 @@ def term_mentions(pairs: DataFrame, terms: list[Term]) -> DataFrame:
     found = matched_terms(pairs, terms, ["doc_id", "ordinal", "unit_id", "plain_target"])
     form = F.get(F.filter("ru", lambda alt: X.all_stems_present(alt, F.col("plain_target"))), F.lit(0))
     bodies = X.matches(F.col("plain_target"), r"\(\s*([^()\s]+)\s*\)", 1)
-    return found.withColumns({"form": form, "has_paren": parenthesis(F.col("head"), F.col("plain_target")), "expanded": F.filter("caps", lambda a: F.array_contains(bodies, a))})
+    return found.withColumns({"form": form, "has_paren": parenthesis(F.col("head"), F.col("plain_target")), "expanded": F.array_intersect("caps", bodies)})
 
 
 def first_mention_issues(mentions: DataFrame) -> DataFrame:
@@ -176,8 +175,8 @@ def first_mention_issues(mentions: DataFrame) -> DataFrame:
     rows = mentions.where("wants").select("doc_id", "unit_id", "ordinal", "label", "head", "first_form", "gloss", "has_paren", "plain_target").withColumns({"nth": F.row_number().over(w), "first_unit": F.first("unit_id").over(w)})
     kind = (
         F.when((F.col("nth") == 1) & ~F.col("has_paren"), F.struct(F.lit("first_mention").alias("check"), F.lit("FAIL").alias("severity"), F.concat(F.lit("missing ("), "head", F.lit(") on first use → "), "first_form").alias("message")))
-        .when((F.col("nth") == 1) & (F.col("gloss") != "") & ~F.contains("plain_target", F.col("gloss")), F.struct(F.lit("gloss"), F.lit("WARN"), F.concat(F.lit("missing gloss on first use: "), "gloss")))
-        .when((F.col("nth") > 1) & F.col("has_paren"), F.struct(F.lit("first_mention"), F.lit("WARN"), F.concat(F.lit("("), "head", F.lit(") repeated after "), "first_unit")))
+        .when((F.col("nth") == 1) & (F.col("gloss") != "") & ~F.contains("plain_target", F.col("gloss")), F.struct(F.lit("gloss").alias("check"), F.lit("WARN").alias("severity"), F.concat(F.lit("missing gloss on first use: "), "gloss").alias("message")))
+        .when((F.col("nth") > 1) & F.col("has_paren"), F.struct(F.lit("first_mention").alias("check"), F.lit("WARN").alias("severity"), F.concat(F.lit("("), "head", F.lit(") repeated after "), "first_unit").alias("message")))
     )
     return rows.withColumn("i", kind).where("i is not null").select("doc_id", "unit_id", "i.*")
 

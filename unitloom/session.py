@@ -16,3 +16,19 @@ def session(master: str | None = None, app: str = "unitloom", **conf: str) -> Sp
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def cut(df):
+    """df checkpointed in the shared folder of spark.checkpoint.dir, so that later plans start from it. Only a local master may go
+    without that setting; it gets a temporary folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        at = context.getConf().get("spark.checkpoint.dir")
+        if not at:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            import tempfile
+
+            at = tempfile.mkdtemp(prefix="unitloom-")
+        context.setCheckpointDir(at)
+    return df.checkpoint()

@@ -93,7 +93,7 @@ def is_image(content: Column) -> Column:
     """Whether bytes are a JPEG, PNG or GIF by signature, or SVG and not HTML within their first 800."""
     start = F.hex(F.substring(content, 1, 8))
     known = start.rlike("^(?:" + "|".join(MAGIC) + ")")
-    head = F.lower(F.regexp_replace(F.decode(F.substring(content, 1, 4096), F.lit("ISO-8859-1")), r"^\s+", "").substr(1, 800))
+    head = F.lower(F.regexp_replace(F.decode(F.substring(content, 1, 4096), "ISO-8859-1"), r"^\s+", "").substr(1, 800))
     return F.coalesce(known | (F.contains(head, F.lit("<svg")) & ~F.contains(head, F.lit("<html"))), F.lit(False))
 
 
