@@ -36,6 +36,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/unitloom-{name}-{uuid.uuid4().hex}"
+        self.written: list[str] = []
         atexit.register(self._quiet_drop)
 
     def path(self, name: str) -> str:
@@ -43,6 +44,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(self.path(name))
+        self.written.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -70,12 +72,6 @@ def small_broadcast(keys: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(keys) if n <= BROADCAST_ROWS else keys
 
 
-def sha256_text(text) -> str:
-    import hashlib
-
-    return hashlib.sha256(text).hexdigest()
-
-
 def quoted(*names: str) -> list:
     """Columns by exact name, whatever characters the names hold."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches, quoted, small_broadcast, with_fields
+from .common import Scratch, bounded_batches, quoted, with_fields
 from .wordhash import RunHash, Words, chunks, signed
 
 
@@ -112,13 +112,12 @@ def factors(docs: DataFrame, scratch: Scratch, least: int = 50, k: int = 8, text
     known = index.join(several, "anchor", "left").where("n > 1 or kinds > 1").select("anchor", "content", "holder", (F.coalesce("kinds", F.lit(1)) > 1).alias("partial"))
     hits = scratch.write(found.join(known, ["anchor", "content"]).where("doc_id > holder or partial").select("doc_id", "lo", "hi", (F.col("doc_id") > F.col("holder")).alias("whole")), "hits")
     scratch.drop("blocks", "index")
-    edges = scratch.write(hits.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"), F.count(F.lit(1)).alias("n")), "edges")
-    weight = edges.agg(F.sum("n")).first()[0] or 0
-    looked = scratch.write(windows_of(rows.join(small_broadcast(edges.drop("n"), weight), "doc_id"), least), "windows")
+    edges = hits.where("not whole").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    looked = scratch.write(windows_of(rows.join(edges, "doc_id"), least), "windows")
     first = looked.groupBy("h1", "h2").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last")).where("holder < last").drop("last")
     single = looked.join(first, ["h1", "h2"]).where("doc_id > holder").select("doc_id", F.col("at").alias("lo"), F.col("at").alias("hi"))
     out = scratch.write(hits.where("whole").select("doc_id", "lo", "hi").unionByName(single), "factors")
-    scratch.drop("hits", "edges", "windows")
+    scratch.drop("hits", "windows")
     return out
 
 
@@ -133,12 +132,10 @@ def cut_spans(docs: DataFrame, least: int = 50, k: int = 8, text: str = "text")
     """
     scratch = Scratch(docs.sparkSession, "rlz")
     bounded_batches(docs.sparkSession)
-    spans = factors(docs, scratch, least, k, text).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"), F.count(F.lit(1)).alias("n"))
-    spans = scratch.write(spans, "spans")
+    spans = scratch.write(factors(docs, scratch, least, k, text).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("lo", "hi")).alias("_spans")), "spans")
     scratch.drop("factors")
-    weight = spans.agg(F.sum("n")).first()[0] or 0
     rows = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn(text, F.col(text).cast("string")).drop("n_words", "n_removed", "cut_spans", "kept_sha256", "_spans")
-    joined = rows.join(small_broadcast(spans.drop("n"), weight), "_id", "left").drop("_id")
+    joined = rows.join(spans, "_id", "left").drop("_id")
     names = [c for c in joined.columns if c != "_spans"]
     schema = with_fields(joined.select(*quoted(*names)), "n_words long, n_removed long, cut_spans array<struct<lo:int,hi:int>>, kept_sha256 string")
     place = names.index(text)
@@ -170,4 +167,5 @@ def cut_spans(docs: DataFrame, least: int = 50, k: int = 8, text: str = "text")
                 names=[*names, "n_words", "n_removed", "cut_spans", "kept_sha256"],
             )
 
-    return joined.select(*quoted(*names), "_spans").mapInArrow(run, schema)
+    plain = [c.alias(f"c{k}") for k, c in enumerate(quoted(*names))]  # mapInArrow looks columns up by name and stumbles over dots
+    return joined.select(*plain, F.col("_spans")).mapInArrow(run, schema)
