@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..schemas import MATCHES
 
 
 @dataclass(frozen=True)
@@ -42,9 +43,6 @@ class Term:
         return f"{base} ({self.en[0]}; {self.gloss})" if self.gloss else f"{base} ({self.en[0]})"
 
 
-MATCHES = "array<struct<label:string,pos:int>>"
-
-
 def term_matcher(terms: list[Term]):
     """text -> [(label, place)] in order of place: whole words in any case, an ending s or es allowed; longer forms take their
     stretch first. One automaton finds all forms, so the cost does not grow with the number of terms."""
@@ -99,7 +97,7 @@ def term_matcher(terms: list[Term]):
 def with_matches(units: DataFrame, terms: list[Term], text: str = "plain", to: str = "matches") -> DataFrame:
     """units with an array of (label, pos) of the terms in a text column, in order. No shuffle."""
     terms = list(terms)
-    schema = T.StructType([*units.schema.fields, T.StructField(to, T._parse_datatype_string(MATCHES))])
+    schema = T.StructType([*units.schema.fields, T.StructField(to, MATCHES)])
     place = units.columns.index(text)
 
     def run(batches):

@@ -1,25 +1,31 @@
-"""Explicit schemas of the document-unit tables."""
+"""Explicit schemas of the document-unit tables. Built without a session, so modules import before one starts."""
 
 from pyspark.sql import types as T
 
-SPANS = T.StructType.fromDDL("spans map<string, struct<type: string, md: string, rid: string>>")["spans"].dataType
-UNIT_FIELDS = (
-    "ordinal int, unit_id string, kind string, level int, src_id string, translate boolean, text string, "
-    "spans map<string, struct<type: string, md: string, rid: string>>, source_md string, fixed string, label string, graphics array<string>"
-)
-UNIT = T.StructType.fromDDL("doc_id string, " + UNIT_FIELDS)
-TRANSLATION = T.StructType.fromDDL("doc_id string, unit_id string, status string, text string, error string, repaired string, manual boolean")
-TERM = T.StructType.fromDDL("label string, en array<string>, ru array<string>, ru_raw string, note string, ru_stems array<string>, gloss string, paren_en string")
-ISSUE = T.StructType.fromDDL("doc_id string, unit_id string, check string, severity string, message string")
-STATE = T.StructType.fromDDL("slug string, last_step string, exit_code int, ts timestamp")
-PAPER = T.StructType.fromDDL(
-    "slug string, title string, authors array<string>, doi string, pmcid string, arxiv string, pdf string, url string, journal string, year int, license string, status string, "
-    "topics array<string>, difficulty int, difficulty_note string, body string"
+S, I, B = T.StringType(), T.IntegerType(), T.BooleanType()
+STRINGS = T.ArrayType(S)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+SPANS = T.MapType(S, struct(type=S, md=S, rid=S))
+UNIT_ROW = struct(ordinal=I, unit_id=S, kind=S, level=I, src_id=S, translate=B, text=S, spans=SPANS, source_md=S, fixed=S, label=S, graphics=STRINGS)
+UNIT = T.StructType([T.StructField("doc_id", S), *UNIT_ROW.fields])
+TRANSLATION = struct(doc_id=S, unit_id=S, status=S, text=S, error=S, repaired=S, manual=B)
+TERM = struct(label=S, en=STRINGS, ru=STRINGS, ru_raw=S, note=S, ru_stems=STRINGS, gloss=S, paren_en=S)
+ISSUE = struct(doc_id=S, unit_id=S, check=S, severity=S, message=S)
+STATE = struct(slug=S, last_step=S, exit_code=I, ts=T.TimestampType())
+PAPER = struct(
+    slug=S, title=S, authors=STRINGS, doi=S, pmcid=S, arxiv=S, pdf=S, url=S, journal=S, year=I, license=S, status=S, topics=STRINGS, difficulty=I, difficulty_note=S, body=S
 )
-CATALOG = T.StructType.fromDDL("slug string, title_ru string, title string, authors string, year int, topics array<string>, difficulty int, reading_minutes int")
-CHAT = T.StructType.fromDDL("messages array<struct<role: string, content: string>>")["messages"].dataType
-EXCEPTION = T.StructType.fromDDL("doc_id string, unit_id string, terms array<string>")
-RULES = T.StructType.fromDDL("banned_calques array<struct<bad: string, good: string>>")
-PROTECTED = T.StructType.fromDDL("terms array<string>, patterns array<string>")
+CATALOG = struct(slug=S, title_ru=S, title=S, authors=S, year=I, topics=STRINGS, difficulty=I, reading_minutes=I)
+CHAT = T.ArrayType(struct(role=S, content=S))
+EXCEPTION = struct(doc_id=S, unit_id=S, terms=STRINGS)
+RULES = struct(banned_calques=T.ArrayType(struct(bad=S, good=S)))
+PROTECTED = struct(terms=STRINGS, patterns=STRINGS)
+#: Matches of terms in a unit.
+MATCHES = T.ArrayType(struct(label=S, pos=I))
 #: The kinds a unit may have.
 KINDS = ("title", "heading", "para", "figure", "supplementary", "ref")
