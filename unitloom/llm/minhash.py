@@ -16,20 +16,26 @@ from .wordhash import RunHash, Words, chunks, mix, signed
 
 @dataclass(frozen=True)
 class MinHashSpec:
-    """shingle: words a shingle. percent: links have 100 * intersection >= percent * union. bands * rows minima are taken; a pair
-    at similarity 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6. bits: low bits kept of each minimum.
-    slack: an estimate may lie this far below the threshold (over 5 standard errors) and still be confirmed on full sets."""
+    """shingle: words a shingle. percent: links have 100 * intersection >= percent * union. bands * rows minima make bands; a
+    pair at similarity 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6. minima: how many the estimate uses. bits: low
+    bits kept of each. slack: an estimate may lie this far below the threshold (over 5 standard errors) and still be confirmed
+    on full sets. sketch: the last round across components also compares the so many smallest hashes of each set, which are the
+    whole sets of most texts."""
 
     shingle: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 5
+    minima: int = 384
     bits: int = 4
-    slack: float = 0.2
+    slack: float = 0.12
+    sketch: int = 512
 
 
 #: Members of a bucket that one task compares with one other block of members.
 BLOCK = 2048
+#: Pairs of two components that one block of a bucket offers, in each round of linking across components; at last all of them.
+OFFERS = (2, 16, None)
 
 
 def shingle_sets(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +81,7 @@ def agreement(a: np.ndarray, b: np.ndarray, k: int, bits: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, spec: MinHashSpec, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, k1, k2 (a 128-bit key of the set; null if empty), sig (packed low bits), bands (hashes)."""
-    k = spec.bands * spec.rows
+    banded = spec.bands * spec.rows
 
     def run(batches):
         for batch in batches:
@@ -93,9 +99,9 @@ def signatures(docs: DataFrame, spec: MinHashSpec, text: str = "text") -> DataFr
                     starts = at[:-1][full]
                     for s in (0, 1):
                         keys[s, full] = signed(np.add.reduceat(mix(values, 31 + s), starts))
-                    low = minima(values, starts, k)
-                    packed = pack(mix(low.astype(np.uint64), 5).astype(np.uint8) & np.uint8((1 << spec.bits) - 1), spec.bits)
-                    groups = low.reshape(len(full), spec.bands, spec.rows).astype(np.uint64)
+                    low = minima(values, starts, max(banded, spec.minima))
+                    packed = pack(mix(low[:, : spec.minima].astype(np.uint64), 5).astype(np.uint8) & np.uint8((1 << spec.bits) - 1), spec.bits)
+                    groups = low[:, :banded].reshape(len(full), spec.bands, spec.rows).astype(np.uint64)
                     h = np.broadcast_to(mix(np.arange(spec.bands, dtype=np.uint64), 6), groups.shape[:2]).copy()
                     for r in range(spec.rows):
                         h = mix(h ^ groups[:, :, r], 8 + r)
@@ -124,6 +130,36 @@ def full_sets(docs: DataFrame, spec: MinHashSpec) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles binary")
 
 
+def sketches(docs: DataFrame, spec: MinHashSpec) -> DataFrame:
+    """doc_id, sketch: the smallest shingle hashes (their upper halves, sorted) as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for i, j, data, offsets in chunks(batch.column(1)):
+                w = Words(data, offsets, lower=True)
+                values, at = shingle_sets(w.hashes(), w.first, spec.shingle)
+                upper = (values >> np.uint64(32)).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([upper[at[d] : min(at[d + 1], at[d] + spec.sketch)].tobytes() for d in range(j - i)], pa.binary())], names=["doc_id", "sketch"])
+
+    return docs.mapInArrow(run, "doc_id long, sketch binary")
+
+
+def plausible(one: np.ndarray, n_one: int, many: list[np.ndarray], n_many: np.ndarray, spec: MinHashSpec) -> np.ndarray:
+    """Whether one sketch may be of a set similar enough to those of many. Sketches of whole sets give the similarity itself (two
+    elements are allowed for equal upper halves); others give it over the hashes below the least bound, with 5 standard errors."""
+    sizes = np.array([len(x) for x in many])
+    flat, begin = np.concatenate(many), np.cumsum(sizes) - sizes
+    top = np.uint32(0xFFFFFFFF)
+    bound = np.minimum(one[-1] if n_one > spec.sketch else top, np.where(n_many > spec.sketch, flat[begin + sizes - 1], top))
+    below = flat <= np.repeat(bound, sizes)
+    place = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    shared = np.add.reduceat(below & (one[place] == flat), begin, dtype=np.int64)
+    union = np.add.reduceat(below, begin, dtype=np.int64) + np.searchsorted(one, bound, "right") - shared
+    whole = (n_many <= spec.sketch) & (n_one <= spec.sketch)
+    slack = np.where(whole, 2 / np.maximum(union, 1), 5 * np.sqrt(0.16 / np.maximum(union, 1)))
+    return shared >= (spec.percent / 100 - slack) * union
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec, text: str, scratch: Scratch, name: str) -> DataFrame:
     """Those pairs (a, b) that hold on full sets. Texts that no pair needs are left behind before anything is shuffled."""
     pairs = scratch.write(pairs, f"{name}_pairs")
@@ -153,7 +189,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec, text: str, s
 
 def estimated(pairs: DataFrame, heads: DataFrame, spec: MinHashSpec) -> DataFrame:
     """Pairs whose sizes allow the similarity and whose collision-corrected estimate comes near it."""
-    k, bits, least = spec.bands * spec.rows, spec.bits, spec.percent / 100 - spec.slack
+    k, bits, least = spec.minima, spec.bits, spec.percent / 100 - spec.slack
 
     def run(batches):
         for batch in batches:
@@ -165,14 +201,16 @@ def estimated(pairs: DataFrame, heads: DataFrame, spec: MinHashSpec) -> DataFram
     return pairs.join(side("a", "x", "n"), "a").join(side("b", "y", "m"), "b").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * spec.percent).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def across(members: DataFrame, spec: MinHashSpec) -> DataFrame:
-    """Pairs of one bucket that lie in two components so far and pass sizes and estimate. members: bucket, n (its size), doc_id,
-    component, n_shingles, sig. Blocks of a bucket meet pairwise, so no task holds more than two blocks."""
-    k, bits, least, percent = spec.bands * spec.rows, spec.bits, spec.percent / 100 - spec.slack, spec.percent
+def across(members: DataFrame, spec: MinHashSpec, offers: int | None) -> DataFrame:
+    """Pairs of one bucket that lie in two components so far and pass sizes and estimate; the `offers` likeliest of each two
+    components in a block, or all that their sketches allow. members: bucket, n (its size), doc_id, component, n_shingles, sig,
+    sketch (null but in the last round). Blocks of a bucket meet pairwise,
+    so no task holds more than two blocks."""
+    k, bits, least, percent = spec.minima, spec.bits, spec.percent / 100 - spec.slack, spec.percent
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "doc_id", "component", "n_shingles", "sig"
+        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "doc_id", "component", "n_shingles", "sig", "sketch"
     )
 
     def run(key, table):
@@ -180,15 +218,30 @@ def across(members: DataFrame, spec: MinHashSpec) -> DataFrame:
         own, ids, comp, n = (table.column(c).to_numpy() for c in ("own", "doc_id", "component", "n_shingles"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
         left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        found = [np.empty((2, 0), np.int64)]
+        held = [np.frombuffer(x, np.uint32) for x in table.column("sketch").to_pylist()] if offers is None else []
+        found, likely = [np.empty((2, 0), np.int64)], [np.empty(0)]
         for i in left:
             fit = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
             if lo == hi:
                 fit = fit[fit > i]
             if len(fit):
-                fit = fit[agreement(sig[i][None], sig[fit], k, bits) >= least]
-                found.append(np.stack([np.minimum(ids[fit], ids[i]), np.maximum(ids[fit], ids[i])]))
-        a, b = np.concatenate(found, axis=1)
+                close = agreement(sig[i][None], sig[fit], k, bits)
+                fit, close = fit[close >= least], close[close >= least]
+                if offers is None and len(fit):
+                    may = plausible(held[i], n[i], [held[x] for x in fit], n[fit], spec)
+                    fit, close = fit[may], close[may]
+                found.append(np.stack([np.full(len(fit), i), fit]))
+                likely.append(close)
+        pair, likely = np.concatenate(found, axis=1), np.concatenate(likely)
+        if offers is not None and len(likely) > offers:
+            c = np.sort(comp[pair], axis=0)
+            order = np.lexsort((-likely, c[1], c[0]))
+            c = c[:, order]
+            new = np.ones(len(order), bool)
+            new[1:] = (c[:, 1:] != c[:, :-1]).any(0)
+            rank = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            pair = pair[:, order[rank < offers]]
+        a, b = np.sort(ids[pair], axis=0)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.groupBy("bucket", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
@@ -200,6 +253,8 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec(), text: st
     Equal sets fold into one head first. Bands give buckets of heads. Round one pairs each member with its bucket's smallest
     head only, so a bucket of m gives m - 1 pairs; the estimate sifts them and full sets confirm. Round two takes buckets
     that still hold several components and compares across components, in blocks, without writing pairs out before the estimate.
+    It offers the likeliest pairs
+    of each two components first, and all that remain in the end, when few components are left to join.
     So every link that shares a band is found, yet copies are never expanded into all pairs.
 
     Null, empty and wordless texts have n_shingles 0 and stand alone. Repeated doc_ids count as one document. An empty table
@@ -216,16 +271,28 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec(), text: st
     slim = heads.select("doc_id", "n_shingles", "sig")
     star = members.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     links = confirmed(estimated(star, slim, spec), docs, spec, text, scratch, "star")
-    near = scratch.write(components(links), "near")
-    labelled = members.join(near.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("bucket", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("bucket")
-    rest = labelled.join(open_, "bucket", "left_semi").join(slim, "doc_id")
     tried = scratch.spark.read.parquet(scratch.path("star_pairs"))
-    more = confirmed(across(rest, spec).join(tried, ["a", "b"], "left_anti"), docs, spec, text, scratch, "cross")
-    final = scratch.write(components(links.unionByName(more)), "final")
+    near = scratch.write(components(links), "near0")
+    for k, offers in enumerate(OFFERS):
+        labelled = members.join(near.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("bucket", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        labelled = scratch.write(labelled, f"labelled{k}")
+        open_ = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("bucket")
+        rest = labelled.join(open_, "bucket", "left_semi").join(slim, "doc_id").withColumn("sketch", F.lit(None).cast("binary"))
+        if offers is None:
+            rest = scratch.write(rest.drop("sketch"), "rest")
+            there = scratch.write(rest.select("doc_id").distinct(), "rest_ids")
+            rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
+            held = sketches(rows.join(small_broadcast(there), "doc_id", "left_semi"), spec).dropDuplicates(["doc_id"])
+            rest = rest.join(held, "doc_id")
+        more = confirmed(across(rest, spec, offers).join(tried, ["a", "b"], "left_anti"), docs, spec, text, scratch, f"across{k}")
+        tried = tried.unionByName(scratch.spark.read.parquet(scratch.path(f"across{k}_pairs")))
+        links = links.unionByName(more)
+        scratch.drop(f"labelled{k}")
+        if not more.isEmpty():
+            near = scratch.write(components(links), f"near{k + 1}")
     folded = sigs.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head"))
     out = scratch.write(
-        folded.join(final.select(F.col("node").alias("head"), "component"), "head", "left").select("doc_id", "n_shingles", F.coalesce("component", "head").alias("component_id")).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id")), "out"
+        folded.join(near.select(F.col("node").alias("head"), "component"), "head", "left").select("doc_id", "n_shingles", F.coalesce("component", "head").alias("component_id")).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id")), "out"
     )
-    scratch.drop("sigs", "heads", "members", "near", "final", "star_pairs", "star_links", "cross_pairs", "cross_links")
+    scratch.drop(*(n for n in scratch.written if n != "out"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
