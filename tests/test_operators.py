@@ -46,9 +46,9 @@ def verified(spark, units, results, body=("x", "x")):
 def test_document_rules(spark):
     units = [unit("d", 0, "a read"), unit("d", 1, "the read"), unit("d", 2, "lowest common ancestor"), unit("d", 3, "LCA"), unit("d", 4, "read", kind="title")]
     results = [("d", "u001", "ok", "рид (read)"), ("d", "u002", "ok", "чтение (Read; x)"), ("d", "u003", "ok", "наименьший общий предок ( LCA )"), ("d", "u004", "ok", "предок (LCA)")]
-    assert verified(spark, units, results) == [
-        ("-", "glossary", "FAIL", "read: inconsistent forms ['рид', 'чтение']"), ("-", "structure", "FAIL", "title: 1 in source, 0 translated"), ("u001", "gloss", "WARN", "missing gloss on first use: фрагмент"),
-        ("u002", "first_mention", "WARN", "(read) repeated after u001"), ("u004", "abbrev", "WARN", "LCA expanded again (first at u003)"), ("u005", "first_mention", "WARN", "x")][:5] or True
+    assert [m for *_, m in verified(spark, units, results)] == [
+        "read: inconsistent forms ['рид', 'чтение']", "title: 1 in source, 0 translated", "missing gloss on first use: фрагмент", "(read) repeated after u001", "LCA expanded again (first at u003)"
+    ]
 
 
 def test_missing_terms_and_exceptions(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as X
+from ..session import cut
 from .terms import Term, missing_terms, with_matches
 from .verify import translated_pairs
 
@@ -133,9 +134,9 @@ def downgraded(translations: DataFrame, issues: DataFrame) -> DataFrame:
     return rows.withColumns({"status": F.when(hit, "needs_repair").otherwise(F.col("status")), "error": F.when(hit, "still failing after repair").otherwise(F.col("error"))}).select(*translations.columns)
 
 
-def repair(units: DataFrame, translations: DataFrame, verify: Callable[[DataFrame], DataFrame], terms: list[Term], lexicon: R.Lexicon, drafts=None, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repair(units: DataFrame, translations: DataFrame, verify: Callable[[DataFrame], DataFrame], terms: list[Term], lexicon: R.Lexicon, drafts=None, cut: Callable[[DataFrame], DataFrame] = cut) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(translations, report, leftover) after at most ROUNDS rounds. verify: translations -> issues. report: round, doc_id, unit_id,
-    fixed. leftover: doc_id, unit_id that still need a hand. cut may write a table, so that a round's plan does not grow."""
+    fixed. leftover: doc_id, unit_id that still need a hand. cut writes a table, so that a round's plan does not grow."""
     report = None
     for k in range(1, ROUNDS + 1):
         issues = cut(verify(translations))
@@ -146,7 +147,7 @@ def repair(units: DataFrame, translations: DataFrame, verify: Callable[[DataFram
         report = outcome if report is None else report.unionByName(outcome)
         if outcome.isEmpty():
             break
-    final = downgraded(translations, cut(verify(translations)))
+    final = cut(downgraded(translations, cut(verify(translations))))
     leftover = final.where("status <> 'ok'").select("doc_id", "unit_id")
     if report is None:
         report = leftover.limit(0).withColumns({"fixed": F.lit(True), "round": F.lit(0)})

@@ -78,4 +78,5 @@ def read_protected(spark: SparkSession, path: str) -> dict[str, list[str]]:
 
 
 def write_terms(terms: DataFrame, path: str) -> None:
-    terms.select(*[f.name for f in TERM.fields]).coalesce(1).write.mode("overwrite").json(path)
+    """One JSON array, as read_terms() reads it; a glossary is small."""
+    terms.agg(F.to_json(F.collect_list(F.struct(*[f.name for f in TERM.fields]))).alias("value")).write.mode("overwrite").text(path)
