@@ -35,7 +35,7 @@ class MinHashSpec:
 #: Members of a bucket that one task compares with one other block of members.
 BLOCK = 2048
 #: Pairs of two components that one block of a bucket offers, in each round of linking across components; at last all of them.
-OFFERS = (2, 16, None)
+OFFERS = (2, None)
 
 
 def shingle_sets(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
