@@ -64,16 +64,18 @@ def link_replies(messages: DataFrame, text: str = "text") -> DataFrame:
     links = quotations(rows.where("conv_id is not null and turn is not null and text is not null"))
     per = links.groupBy("conv_id", "turn").agg(F.max("depth").alias("quote_depth"), F.sum("n_lines").alias("n_quoted"), F.sum("n_linked").alias("n_linked"), F.max(F.when(F.col("depth") == 1, F.col("quoted_turn"))).alias("reply_to"))
     per = scratch.write(per, "links")
-    hops = scratch.write(per.where("reply_to is not null").select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("hops")), "hops0")
+    # rows on their way (moving) take over what their root has reached; a row whose root has no link of its own has arrived
+    moving = scratch.write(per.where("reply_to is not null").select("conv_id", "turn", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("hops")), "hops0")
+    arrived = moving.limit(0)
     k = 0
-    while True:
-        step = hops.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("hops").alias("more"))
+    while not moving.isEmpty():
         k += 1
-        hops = scratch.write(hops.join(step, ["conv_id", "root"], "left").select("conv_id", "turn", F.coalesce("next", "root").alias("root"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("next").isNotNull().alias("moved")), f"hops{k}")
-        if hops.where("moved").isEmpty():
-            break
-        hops = hops.drop("moved")
-    joined = rows.join(per, ["conv_id", "turn"], "left").join(hops.drop("moved"), ["conv_id", "turn"], "left")
+        reached = moving.unionByName(arrived).select("conv_id", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("hops").alias("more"))
+        stepped = moving.join(reached, ["conv_id", "root"], "left").select("conv_id", "turn", F.coalesce("next", "root").alias("root"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("next").isNotNull().alias("moved"))
+        stepped = scratch.write(stepped, f"hops{k}")
+        arrived = arrived.unionByName(stepped.where("not moved").drop("moved"))
+        moving = stepped.where("moved").drop("moved")
+    joined = rows.join(per, ["conv_id", "turn"], "left").join(arrived, ["conv_id", "turn"], "left")
     return joined.select(
         "conv_id", "turn", "role", unquoted(F.col("text")).alias("text"), F.coalesce("quote_depth", F.lit(0)).alias("quote_depth"), F.coalesce("n_quoted", F.lit(0).cast("long")).alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), "reply_to", F.coalesce("root", "turn").alias("thread_root"), F.coalesce("hops", F.lit(0).cast("long")).alias("reply_depth"),
