@@ -227,6 +227,30 @@ def test_frames_fit_as_the_driver_does(spark, monkeypatch):
     assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-3 for k in one)
 
 
+def sparse_docs(spark):
+    """Each source mostly of one language, few topics: many rounds until the marginals are met."""
+    rng = random.Random(11)
+    rows = []
+    for s in range(40):
+        main = rng.choice(("en", "fr", "de", "es"))
+        for _ in range(rng.randrange(1, 4)):
+            lang = main if rng.random() < 0.9 else rng.choice(("en", "fr", "de", "es"))
+            rows.append((len(rows), " ".join([f"w{rng.randrange(50)}"] * rng.randrange(1, 400)), lang, f"s{s}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+@pytest.mark.parametrize("targets", [{}, {"lang": {"en": 0.3, "xx": 0.2}}, {"lang": {"fr": 0}}])
+def test_frames_fit_a_sparse_table_as_the_driver_does(spark, monkeypatch, targets):
+    docs, spec = sparse_docs(spark), mixing.MixSpec(targets=targets)
+    spec = spec if not targets else mixing.MixSpec(targets=targets, rounds=20)
+    one = {r.doc_id: (r.weight, r.probability, r.selected) for r in mixing.mix_sources(docs, spec).collect()}
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
+    two = {r.doc_id: (r.weight, r.probability, r.selected) for r in mixing.mix_sources(docs, spec).collect()}
+    assert one.keys() == two.keys()
+    for k, (weight, p, selected) in one.items():
+        assert np.isclose(two[k][0], weight, rtol=1e-6, atol=0) and np.isclose(two[k][1], p, rtol=1e-6, atol=1e-12) and two[k][2] == selected
+
+
 def test_mixing_edges(edges, empty):
     got = sorted(mixing.mix_sources(edges).collect(), key=lambda r: r.doc_id)
     assert [r.doc_id for r in got] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 9]

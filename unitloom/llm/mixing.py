@@ -109,9 +109,9 @@ def fitted(cells: DataFrame, spec: MixSpec, scratch: Scratch) -> DataFrame:
     return scratch.write(cells.sparkSession.createDataFrame([(*r, float(w), float(x)) for r, w, x in zip(rows, weights, p, strict=True)], "_source string, _lang string, _topic string, tokens long, weight double, p double"), "fitted")
 
 
-def fitted_in_frames(cells: DataFrame, spec: MixSpec, scratch: Scratch, rounds: int = 20) -> DataFrame:
-    """The same by aggregations and joins of the cell table, for more cells than the driver should hold; `rounds` rounds at most,
-    and the scale of the probabilities by halving."""
+def fitted_in_frames(cells: DataFrame, spec: MixSpec, scratch: Scratch) -> DataFrame:
+    """The same by aggregations and joins of the cell table, for more cells than the driver should hold: the same targets, rounds,
+    end and scale of the probabilities, so that the results differ by rounding alone."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
         return cells.withColumn("weight", F.lit(0.0)).withColumn("p", F.lit(1.0))
@@ -120,33 +120,40 @@ def fitted_in_frames(cells: DataFrame, spec: MixSpec, scratch: Scratch, rounds:
         sums = cells.groupBy(f"_{axis}").agg((F.sum("tokens") / total).alias("share")).where("share > 0")
         given = spec.targets.get(axis)
         if given:
-            named = F.element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(f"_{axis}"))
-            rest = sums.where(named.isNull()).agg(F.sum("share")).first()[0] or 0.0
-            left = max(0.0, 1 - sum(given.values()))
-            raw = sums.withColumn("raw", F.coalesce(named.cast("double"), F.col("share") * (left / rest if rest else 0.0)))
+            named = F.element_at(F.create_map(*[F.lit(x) for k, v in given.items() for x in (k, float(v))]), F.col(f"_{axis}"))
+            there, rest = sums.agg(F.sum(named), F.sum(F.when(named.isNull(), F.col("share")))).first()  # as marginal(): absent categories do not count
+            left = max(0.0, 1 - (there or 0.0)) if rest else 0.0
+            raw = sums.withColumn("raw", F.coalesce(named, F.col("share") * (left / rest if rest else 0.0)))
         else:
             raw = sums.withColumn("raw", F.pow("share", F.lit(spec.tempered.get(axis, 1.0))))
         whole = raw.agg(F.sum("raw")).first()[0]
         goals[axis] = scratch.write(raw.select(f"_{axis}", (F.col("raw") / whole).alias("goal")), f"goal_{axis}")
-    now = cells.withColumn("weight", F.col("tokens") / total)
-    for k in range(rounds):
-        miss = 0.0
+    now, last = cells.withColumn("weight", F.col("tokens") / total), None
+    for k in range(spec.rounds):
+        now = now.select(*cells.columns, "weight", F.lit(0.0).alias("miss"))
         for axis in AXES:
-            factor = now.groupBy(f"_{axis}").agg(F.sum("weight").alias("have")).join(goals[axis], f"_{axis}").select(f"_{axis}", (F.col("goal") / F.col("have")).alias("factor"))
-            now = now.join(factor, f"_{axis}", "left").withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(1.0)))
-            now = scratch.write(now.select(*cells.columns, "weight", "factor"), f"rake{k}_{axis}")
-            miss = max(miss, now.agg(F.max(F.abs(F.col("factor") - 1))).first()[0] or 0.0)
-            now = now.drop("factor")
-        if miss < spec.close:
+            sums = now.groupBy(f"_{axis}").agg(F.sum("weight").alias("have")).join(goals[axis], f"_{axis}")
+            factor = sums.select(f"_{axis}", F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(1.0).alias("factor"))
+            now = now.join(factor, f"_{axis}", "left").withColumn("factor", F.coalesce("factor", F.lit(1.0)))
+            now = now.select(*cells.columns, (F.col("weight") * F.col("factor")).alias("weight"), F.greatest("miss", F.abs(F.col("factor") - 1)).alias("miss"))
+            now = scratch.write(now, f"rake{k}_{axis}")
+            if last:
+                scratch.drop(last)
+            last = f"rake{k}_{axis}"
+        if now.agg(F.max("miss")).first()[0] < spec.close:
             break
     rate = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    now = scratch.write(now.withColumn("rate", rate), "rates")
-    lo, hi = 0.0, (now.agg(F.max(F.when(F.col("rate") > 0, 1 / F.col("rate")))).first()[0] or 1.0)
-    for _ in range(40):
-        mid = (lo + hi) / 2
-        drawn = now.agg(F.sum(F.least(F.col("rate") * mid, F.lit(1.0)) * F.col("tokens"))).first()[0]
-        lo, hi = (mid, hi) if drawn < spec.keep * total else (lo, mid)
-    return now.select(*cells.columns, "weight", F.when(F.col("tokens") > 0, F.least(F.col("rate") * hi, F.lit(1.0))).otherwise(1.0).alias("p"))
+    now = scratch.write(now.select(*cells.columns, "weight", rate.alias("rate")), "rates")
+    if last:
+        scratch.drop(last)
+    scale, held = 0.0, -1
+    while True:  # cells that come to probability 1 leave the budget to the others, until no more do
+        full = F.col("rate") * scale >= 1
+        n, taken, left = now.agg(F.count_if(full), F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
+        if n == held or left <= 0:
+            break
+        scale, held = max(scale, (spec.keep * total - taken) / left), n
+    return now.select(*cells.columns, "weight", F.when(F.col("tokens") > 0, F.least(F.col("rate") * scale, F.lit(1.0))).otherwise(1.0).alias("p"))
 
 
 def draw(doc_id: Column, seed: int) -> Column:
