@@ -504,6 +504,12 @@ def mechanical_links(spark, folder):
     return A.pairs(spark, folder).where("mutation = 'link_changed'").select("doc_id", repair.restore_links(F.col("source"), F.col("target")).alias("restored"))
 
 
+@query(f"select doc_id, mutation, case mutation when 'link_changed' then replace(source, '1,000', '1 000') else target end as restored from {P}")
+def mechanical_links_all(spark, folder):
+    # texts whose links agree must come back untouched
+    return A.pairs(spark, folder).select("doc_id", "mutation", repair.restore_links(F.col("source"), F.col("target")).alias("restored"))
+
+
 @query("select doc_id, regexp_replace(regexp_replace(\"text\" || ' 0,95 and 1,5', '(\\d),(\\d)', '\\1.\\2', 'g'), '(\\d),(\\d)', '\\1.\\2', 'g') as fixed from documents")
 def decimal_points(spark, folder):
     return A.table(spark, folder, "documents").select("doc_id", X.decimal_points(F.concat("text", F.lit(" 0,95 and 1,5"))).alias("fixed"))
