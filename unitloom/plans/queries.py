@@ -575,9 +575,11 @@ def html_plain_text(spark, folder):
 
 
 def _latexml(spark, folder):
+    # the page as it is stands at the end of the paragraph, unclosed elements and all
     pages = A.table(spark, folder, "pages")
-    lead = '<nav>x</nav><article class="ltx_document"><h1 class="ltx_title_document">T <em>it</em></h1><div class="ltx_abstract"><p>A [<a href="#bib.1">1</a>] b</p></div><section id="S1" class="ltx_section"><h2>One</h2><div class="ltx_para"><p class="ltx_p">See <a href="#S1">S</a> at <a href="https://e.org/x%3e">e</a></p></div><figure id="S1.F1"><img src="a/b.png"><figcaption>Cap</figcaption></figure></section><section class="ltx_bibliography"><h2>Refs</h2><ul><li id="bib.1" class="ltx_bibitem"><span class="ltx_tag ltx_tag_bibitem">[1]</span>'
-    return pages.select(F.col("page_id").alias("doc_id"), F.concat(F.lit(lead), X.html_escape(F.col("url")), F.lit("</li></ul></section></article>")).alias("html"))
+    lead = '<nav>x</nav><article class="ltx_document"><h1 class="ltx_title_document">T <em>it</em></h1><div class="ltx_abstract"><p>A [<a href="#bib.1">1</a>] b</p></div><section id="S1" class="ltx_section"><h2>One</h2><div class="ltx_para"><p class="ltx_p">See <a href="#S1">S</a> at <a href="https://e.org/x%3e">e</a> '
+    rest = '</p></div><figure id="S1.F1"><img src="a/b.png"><figcaption>Cap</figcaption></figure></section><section class="ltx_bibliography"><h2>Refs</h2><ul><li id="bib.1" class="ltx_bibitem"><span class="ltx_tag ltx_tag_bibitem">[1]</span>'
+    return pages.select(F.col("page_id").alias("doc_id"), F.concat(F.lit(lead), "html", F.lit(rest), X.html_escape(F.col("url")), F.lit("</li></ul></section></article>")).alias("html"))
 
 
 UNIT_KINDS = "(values (0, 'title', true), (1, 'heading', false), (2, 'para', true), (3, 'heading', true), (4, 'para', true), (5, 'figure', true), (6, 'heading', false), (7, 'ref', false))"
@@ -594,9 +596,11 @@ def html_inline_map(spark, folder):
 
 
 def _jats(spark, folder):
+    # the page's source is the end of the paragraph's text
     pages = A.table(spark, folder, "pages")
-    lead = '<!DOCTYPE article PUBLIC "x" "y.dtd"><pmc-articleset><article><front><article-meta><title-group><article-title>T <italic>x</italic></article-title></title-group><abstract><p>A</p></abstract></article-meta></front><body><sec id="s1"><title>One</title><p>P [<xref ref-type="bibr" rid="b1">1</xref>, <xref ref-type="bibr" rid="b2">2</xref>] in <xref ref-type="sec" rid="s1">here</xref></p><fig id="f1"><label>Fig. 1</label><caption><p>C</p></caption><graphic href="a/g.png"/></fig></sec></body><back><ref-list><ref id="b1"><label>1</label><mixed-citation>'
-    return pages.select(F.col("page_id").alias("doc_id"), F.concat(F.lit(lead), X.html_escape(F.col("url")), F.lit(' <pub-id pub-id-type="doi">10.1/x</pub-id></mixed-citation></ref></ref-list></back></article></pmc-articleset>')).alias("raw"))
+    lead = '<!DOCTYPE article PUBLIC "x" "y.dtd"><pmc-articleset><article><front><article-meta><title-group><article-title>T <italic>x</italic></article-title></title-group><abstract><p>A</p></abstract></article-meta></front><body><sec id="s1"><title>One</title><p>P [<xref ref-type="bibr" rid="b1">1</xref>, <xref ref-type="bibr" rid="b2">2</xref>] in <xref ref-type="sec" rid="s1">here</xref> '
+    rest = '</p><fig id="f1"><label>Fig. 1</label><caption><p>C</p></caption><graphic href="a/g.png"/></fig></sec></body><back><ref-list><ref id="b1"><label>1</label><mixed-citation>'
+    return pages.select(F.col("page_id").alias("doc_id"), F.concat(F.lit(lead), X.html_escape(F.col("html")), F.lit(rest), X.html_escape(F.col("url")), F.lit(' <pub-id pub-id-type="doi">10.1/x</pub-id></mixed-citation></ref></ref-list></back></article></pmc-articleset>')).alias("raw"))
 
 
 @query(f"select page_id as doc_id, ordinal, kind, translate from pages, {UNIT_KINDS} v(ordinal, kind, translate)")
