@@ -39,8 +39,9 @@ def split_note(body: Column) -> Column:
 
 
 def difficulty_label(level: Column, note: Column) -> Column:
-    base = F.format_string("Сложность %d/10.", level)
-    return F.when(F.coalesce(note, F.lit("")) != "", F.concat(base, F.lit(" "), note)).otherwise(base)
+    """Null without a level; a blank note counts as none."""
+    base, told = F.format_string("Сложность %d/10.", level), F.regexp_replace(F.coalesce(note, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.when(level.isNotNull(), F.when(told != "", F.concat(base, F.lit(" "), told)).otherwise(base))
 
 
 def difficulty_chip(level: Column, note: Column) -> Column:

@@ -411,6 +411,11 @@ def difficulty_labels(spark, folder):
     return A.papers(spark, folder).where("difficulty is not null and difficulty_note = 'note'").select("slug", C.difficulty_label(F.col("difficulty"), F.col("difficulty_note")).alias("label"))
 
 
+@query(f"select slug, 'Сложность ' || difficulty || '/10.' || case when doc_id % 9 = 0 then '' else ' note' end as label from {PAPERS}")
+def difficulty_labels_all(spark, folder):
+    return A.papers(spark, folder).select("slug", C.difficulty_label(F.col("difficulty"), F.col("difficulty_note")).alias("label"))
+
+
 @query(f"select slug from {PAPERS} where status <> 'not-started' order by coalesce(year, 0) desc, slug")
 def published_papers(spark, folder):
     return landing.published(A.papers(spark, folder)).select("slug")
@@ -435,6 +440,12 @@ def attribution_header(spark, folder):
     return p.select("slug", render.attribution(p).alias("note"))
 
 
+@query(f"select slug, case when year is not null then '> **Неофициальный перевод.** Оригинал: ' || authors || '. «' || title || '». Journal, ' || year || '. PDF: [' || link || '](' || link || '). Лицензия: CC-BY.' || chr(10) || chr(10) end as note from (select *, 'https://example.org/' || case when doc_id % 5 = 2 then cast(doc_id as varchar) else '' end as link from {PAPERS})")
+def attribution_header_all(spark, folder):
+    p = A.papers(spark, folder)
+    return p.select("slug", render.attribution(p).alias("note"))
+
+
 # validators ------------------------------------------------------------------------------------------------------------------
 
 
