@@ -58,6 +58,14 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+@needs_model
+def test_every_language_is_learned_however_long_its_texts(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * 4000 if i % 4 else " ", lang) for i, lang in enumerate(["de", "en", "fr"] * 4)], "doc_id long, text string, lang string")
+    spec = language.LanguageSpec(sample_chars=1, rounds=1)
+    langs, theta = language.piece_probabilities(docs, language.vocabulary(MODEL), spec)
+    assert langs == ["de", "en", "fr"] and np.allclose(theta.sum(0), 1)
+
+
 @needs_model
 def test_language_edges(edges, empty, spark):
     got = sorted(language.identify(edges, F.lit(True)).collect(), key=lambda r: r.doc_id)

@@ -190,9 +190,12 @@ def piece_probabilities(docs: DataFrame, pieces: list[str], spec: LanguageSpec,
     The result is bounded by the vocabulary times the languages."""
     rows = docs.where(F.col("lang").isNotNull() & F.col(text).isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "language")
-    sizes = scratch.write(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")), "sizes")
+    place = F.xxhash64("doc_id", F.lit(17))
+    place = F.struct(F.pmod(place, F.lit(1_000_000)).alias("part"), place.alias("whole"))
+    least = F.min(F.when(F.col("text").rlike(r"\S"), place)).alias("least")  # drawn in any case, so that no language goes unlearned
+    sizes = scratch.write(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), least), "sizes")
     part = F.lit(float(spec.sample_chars)) / F.greatest(F.col("chars"), F.lit(1))
-    drawn = rows.join(small_broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < part * 1_000_000).select("lang", "text")
+    drawn = rows.join(small_broadcast(sizes), "lang").where((place["part"] < part * 1_000_000) | F.coalesce(place == F.col("least"), F.lit(False))).select("lang", "text")
 
     def fit(table: pa.Table) -> pa.Table:
         theta = learn(table.column("text").to_pylist(), Lattice(pieces), spec)
