@@ -104,6 +104,14 @@ def test_dictionary_leads_the_file_and_serves_every_record(tmp_path):
     assert places[-1][0] + places[-1][1] == len(data)
 
 
+def test_dictionary_learns_from_the_ends_of_long_records():
+    rng = random.Random(6)
+    phrases = [rng.randbytes(60) for _ in range(50)]
+    records = [rng.randbytes(warc.PIECE) + b"".join(rng.sample(phrases, 50)) for _ in range(20)]
+    words = warc.build_dictionary(records, warc.WarcSpec())
+    assert sum(p in words for p in phrases) > 25
+
+
 # packing --------------------------------------------------------------------------------------------------------------------
 
 

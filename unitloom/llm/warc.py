@@ -18,6 +18,8 @@ from .media import open_store
 
 #: Magic number of the skippable frame that holds the dictionary.
 SKIPPABLE = 0x184D2A5D
+#: Longer records are trained on in pieces of so many bytes.
+PIECE = 128 << 10
 #: A fixed date, so that equal tables give equal archives.
 DATE = "2024-01-01T00:00:00Z"
 
@@ -78,7 +80,7 @@ def build_dictionary(records: list[bytes], spec: WarcSpec) -> bytes:
     import zstandard
 
     step = max(1, sum(map(len, records)) // spec.sample_bytes)
-    sample = [r[: 128 << 10] for r in records[::step]]
+    sample = [r[k : k + PIECE] for r in records[::step] for k in range(0, len(r), PIECE)]
     try:
         return zstandard.train_dictionary(min(spec.dictionary, max(1024, sum(map(len, sample)) // 16)), sample, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
