@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,11 @@ from .wordhash import MASK, mix, powers
 
 #: Mark of a word's start in the vocabulary.
 START = "▁"
-#: The forward sums are multiplied by this for each character, lest they vanish.
-LIFT = 1000.0
+#: Forward sums of so many characters are scaled at once, each by its own logarithm, so that words of any length keep their sum.
+STRETCH = 8
 UNKNOWN = 1e-7
+#: Pieces' places of so many characters (words times length) are held at once.
+HELD = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -26,14 +29,16 @@ INVERSE = pow(BASE, -1, 1 << 64)
 @dataclass(frozen=True)
 class LanguageSpec:
     """model: a sentencepiece file with the vocabulary. sample_chars: a language is learned from a sample of about so many
-    characters of its rows (whole texts, drawn by hash). rounds: EM rounds. smooth: added to each piece's count.
-    longest: a longer word is scored in parts of this length."""
+    characters of its rows (whole texts, drawn by hash, at least one). rounds: EM rounds. smooth: added to each piece's count.
+    most_languages: more than these are refused, as the table of probabilities goes to every task (256 KB a language).
+    cached_words: scores of so many words are kept by a task."""
 
-    model: str = "/opt/tokenizers/piece_bpe_32k.model"
+    model: str
     sample_chars: int = 3_000_000
     rounds: int = 4
     smooth: float = 0.02
-    longest: int = 64
+    most_languages: int = 256
+    cached_words: int = 200_000
 
 
 def vocabulary(path: str) -> list[str]:
@@ -100,60 +105,73 @@ class Lattice:
         length = len(words[0])
         chars, at = self.flat(words)
         sums, power = self.prefix(chars), powers(BASE & MASK, len(chars) + 1)
-        out = np.full((len(words), length, min(self.widest, length)), -1, np.int32)
-        for i in range(length):
-            start = at[:-1] + i
-            width = min(self.widest, length - i)
-            ends = start[:, None] + np.arange(1, width + 1)
-            out[:, i, :width] = self.find(mix((sums[ends] - sums[start][:, None]) * power[start][:, None], 4))
+        width = min(self.widest, length)
+        out = np.empty((len(chars), width), np.int32)
+        room = length - np.arange(len(chars)) % length
+        for k in range(0, len(chars), HELD // 4):
+            start = np.arange(k, min(k + HELD // 4, len(chars)))
+            size = np.minimum(np.arange(1, width + 1), room[start][:, None])
+            found = self.find(mix((sums[start[:, None] + size] - sums[start][:, None]) * power[start][:, None], 4))
+            out[start] = np.where(np.arange(1, width + 1) <= room[start][:, None], found, -1)
+        return out.reshape(len(words), length, width)
+
+    def ending(self, words: list[str]) -> np.ndarray:
+        """The same by the place where a piece ends: [n, j - 1, l - 1] for the piece of l characters before place j."""
+        ids = self.ids(words)
+        out = np.full_like(ids, -1)
+        for l in range(1, ids.shape[2] + 1):  # noqa: E741
+            out[:, l - 1 :, l - 1] = ids[:, : ids.shape[1] - l + 1, l - 1]
         return out
 
 
-def by_length(words: list[str], most: int = 4096):
-    """Places of words of equal length, a few thousand at a time."""
+def by_length(words: list[str]):
+    """Places of words of equal length, as many at a time as HELD allows."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         groups.setdefault(len(w), []).append(i)
-    for _, members in sorted(groups.items()):
-        for k in range(0, len(members), most):
-            yield np.array(members[k : k + most])
-
-
-def forward(ids: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """alpha[j, n, language]: sum over the segmentations of the first j characters; theta has one more row, of zeros, for no
-    piece. A character that no piece matches alone counts as unknown."""
-    n, length, widest = ids.shape
-    alpha = np.zeros((length + 1, n, theta.shape[1]))
-    alpha[0] = 1
-    for j in range(1, length + 1):
-        for l in range(1, min(j, widest) + 1):  # noqa: E741
-            piece = ids[:, j - l, l - 1]
+    for length, members in sorted(groups.items()):
+        step = max(1, HELD // length)
+        for k in range(0, len(members), step):
+            yield np.array(members[k : k + step])
+
+
+def forward(lattice: Lattice, words: list[str], theta: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums over all segmentations of each of some words of equal length, by language. theta has one more row, of
+    zeros, for no piece. A character that no piece matches alone counts as unknown. The words are read in stretches, and only the
+    sums at the last `widest` places are held, scaled by each word's and language's own factor."""
+    length, widest = len(words[0]), min(lattice.widest, len(words[0]))
+    ring = np.zeros((len(words), widest, theta.shape[1]))  # ring[:, l - 1]: sum at the place l characters back
+    ring[:, 0] = 1
+    scale = np.zeros((len(words), theta.shape[1]))
+    step = max(4 * widest, HELD // len(words))
+    for p in range(0, length, step):
+        lo = max(0, p - widest)
+        ends = lattice.ending([w[lo : p + step] for w in words])
+        for j in range(p + 1, min(p + step, length) + 1):
+            piece = ends[:, j - 1 - lo]
             part = theta[piece]
-            if l == 1:
-                part = np.where((piece < 0)[:, None], UNKNOWN, part)
-            elif (piece < 0).all():
-                continue
-            alpha[j] += alpha[j - l] * part * LIFT**l
-    return alpha
-
-
-def backward(ids: np.ndarray, theta: np.ndarray) -> np.ndarray:
+            part[:, 0] = np.where((piece[:, 0] < 0)[:, None], UNKNOWN, part[:, 0])
+            now = (ring[:, : part.shape[1]] * part).sum(1)
+            ring[:, 1:] = ring[:, :-1].copy()
+            ring[:, 0] = now
+            if j % STRETCH == 0:
+                top = np.maximum(ring.max(1), 1e-300)
+                ring /= top[:, None]
+                scale += np.log(top)
+    return np.log(ring[:, 0]) + scale
+
+
+def log_sums(ids: np.ndarray, logs_of: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums at each place of words, of one language: places x words, where ids[:, j - 1] are the pieces that lead to
+    place j from the places before it. logs_of: logarithms of the piece probabilities, the last one (no piece) -inf."""
     n, length, widest = ids.shape
-    beta = np.zeros((length + 1, n))
-    beta[length] = 1
-    for i in range(length - 1, -1, -1):
-        for l in range(1, min(length - i, widest) + 1):  # noqa: E741
-            piece = ids[:, i, l - 1]
-            part = theta[piece, 0]
-            if l == 1:
-                part = np.where(piece < 0, UNKNOWN, part)
-            beta[i] += beta[i + l] * part * LIFT**l
-    return beta
-
-
-def parts(word: str, longest: int) -> list[str]:
-    marked = START + word
-    return [marked[k : k + longest] for k in range(0, len(marked), longest)] if len(marked) > longest else [marked]
+    logs = np.full((widest + length, n), -np.inf)
+    logs[widest - 1] = 0
+    for j in range(length):
+        part = logs_of[ids[:, j].T]
+        part[0] = np.where(ids[:, j, 0] < 0, np.log(UNKNOWN), part[0])
+        logs[widest + j] = np.logaddexp.reduce(logs[j : j + widest][::-1] + part, axis=0)
+    return logs[widest - 1 :]
 
 
 def learn(texts, lattice: Lattice, spec: LanguageSpec) -> np.ndarray:
@@ -161,39 +179,37 @@ def learn(texts, lattice: Lattice, spec: LanguageSpec) -> np.ndarray:
     counts: Counter[str] = Counter()
     for text in texts:
         counts.update((text or "").lower().split())
-    pieces: Counter[str] = Counter()
-    for w, c in counts.items():
-        for p in parts(w, spec.longest):
-            pieces[p] += c
-    words = sorted(pieces)
-    weight = np.array([pieces[w] for w in words], float)
-    sets = [(at, lattice.ids([words[i] for i in at])) for at in by_length(words)]
-    theta = np.full((lattice.size + 1, 1), 1 / lattice.size)
-    theta[-1] = 0
+    words = sorted(START + w for w in counts)
+    weight = np.array([counts[w[1:]] for w in words], float)
+    theta = np.full(lattice.size, 1 / lattice.size)
     for _ in range(spec.rounds):
-        total = np.zeros(lattice.size)
-        for at, ids in sets:
-            alpha, beta = forward(ids, theta)[:, :, 0], backward(ids, theta)
-            scale = weight[at] / alpha[-1]
-            for i in range(ids.shape[1]):
-                for l in range(1, min(ids.shape[2], ids.shape[1] - i) + 1):  # noqa: E741
-                    piece = ids[:, i, l - 1]
-                    some = piece >= 0
-                    if some.any():
-                        total += np.bincount(piece[some], (alpha[i] * beta[i + l] * scale)[some] * theta[piece[some], 0] * LIFT**l, lattice.size)
-        theta[:-1, 0] = (total + spec.smooth) / (total.sum() + spec.smooth * lattice.size)
-    return theta[:-1, 0]
+        total, logs_of = np.zeros(lattice.size), np.append(np.log(theta), -np.inf)
+        for at in by_length(words):
+            group = [words[i] for i in at]
+            ids = lattice.ids(group)
+            alpha, beta = log_sums(lattice.ending(group), logs_of), log_sums(ids[:, ::-1], logs_of)[::-1]
+            length, widest = ids.shape[1:]
+            after = np.concatenate([beta, np.full((widest, len(at)), -np.inf)])
+            for i in range(length):
+                piece = ids[:, i]
+                some = piece >= 0
+                share = np.exp(alpha[i][:, None] + after[i + 1 : i + 1 + widest].T - alpha[-1][:, None]) * weight[at][:, None]
+                np.add.at(total, piece[some], share[some] * theta[piece[some]])
+        theta = (total + spec.smooth) / (total.sum() + spec.smooth * lattice.size)
+    return theta
 
 
 def piece_probabilities(docs: DataFrame, pieces: list[str], spec: LanguageSpec, text: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities (pieces x languages), learned from docs (lang, text, and doc_id for the draw).
-    The result is bounded by the vocabulary times the languages."""
+    The result is bounded by the vocabulary times most_languages."""
     rows = docs.where(F.col("lang").isNotNull() & F.col(text).isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "language")
     place = F.xxhash64("doc_id", F.lit(17))
     place = F.struct(F.pmod(place, F.lit(1_000_000)).alias("part"), place.alias("whole"))
     least = F.min(F.when(F.col("text").rlike(r"\S"), place)).alias("least")  # drawn in any case, so that no language goes unlearned
     sizes = scratch.write(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), least), "sizes")
+    if (n := sizes.count()) > spec.most_languages:
+        raise ValueError(f"{n} languages are more than most_languages={spec.most_languages}")
     part = F.lit(float(spec.sample_chars)) / F.greatest(F.col("chars"), F.lit(1))
     drawn = rows.join(small_broadcast(sizes), "lang").where((place["part"] < part * 1_000_000) | F.coalesce(place == F.col("least"), F.lit(False))).select("lang", "text")
 
@@ -206,44 +222,44 @@ def piece_probabilities(docs: DataFrame, pieces: list[str], spec: LanguageSpec,
     return [x for x, _ in found], np.array([t for _, t in found]).T if found else np.zeros((len(pieces), 0))
 
 
-def identify(docs: DataFrame, train: Column, spec: LanguageSpec = LanguageSpec(), text: str = "text") -> DataFrame:  # noqa: B008
+def identify(docs: DataFrame, train: Column, spec: LanguageSpec, text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every row of docs. train: a condition on docs' columns; rows that fulfil it and have text
     and lang are learned from. Predictions read nothing but the text.
 
     lang_pred is the language of the greatest likelihood (the first in order if equal), score its posterior probability under
     equal priors. Null texts, and texts without a letter, get `und` and score 0, as do all if nothing could be learned.
-    Words are runs of non-white-space, in lower case; whole texts are scored, each distinct word once a batch. Repeated rows
-    are predicted alike. An empty table gives an empty result; other columns don't matter.
+    Words are runs of non-white-space, in lower case and of any length; whole texts are scored, a task scoring each word once as long
+    as its cache holds it. Repeated rows are predicted alike. An empty table gives an empty result; other columns don't matter.
     """
     bounded_batches(docs.sparkSession)
     pieces = vocabulary(spec.model)
     langs, theta = piece_probabilities(docs.where(train), pieces, spec, text)
-    longest = spec.longest
     table = np.vstack([theta, np.zeros((1, len(langs)))])
 
     def run(batches):
         lattice = Lattice(pieces)
+        places: dict[str, int] = {}
+        scores = np.zeros((1024, len(langs)))
         for batch in batches:
-            places: dict[str, int] = {}
+            if len(places) > spec.cached_words:
+                places = {}
+            known = len(places)
             lists = []
             for t, readable in zip(batch.column(1), batch.column(2), strict=True):
                 words = t.as_py().lower().split() if readable.as_py() and langs else []
                 lists.append(np.fromiter((places.setdefault(w, len(places)) for w in words), np.int64, len(words)))
-            split = [parts(w, longest) for w in places]
-            flat = [p for ps in split for p in ps]
-            scored = np.zeros((len(flat), len(langs)))
-            for at in by_length(flat):
-                ids = lattice.ids([flat[i] for i in at])
-                scored[at] = np.log(forward(ids, table)[-1]) - ids.shape[1] * np.log(LIFT)
-            first = np.cumsum([0, *map(len, split)])[:-1]
-            per_word = np.add.reduceat(scored, first, axis=0) if len(flat) else scored
+            if len(places) > len(scores):
+                scores = np.concatenate([scores, np.zeros((max(len(places) - len(scores), len(scores)), len(langs)))])
+            fresh = [START + w for w in list(islice(reversed(places), len(places) - known))[::-1]]
+            for at in by_length(fresh):
+                scores[known + at] = forward(lattice, [fresh[i] for i in at], table)
             best, score = [], []
             for at in lists:
                 if not len(at):
                     best.append("und")
                     score.append(0.0)
                     continue
-                total = per_word[at].sum(0)
+                total = scores[at].sum(0)
                 k = int(total.argmax())
                 best.append(langs[k])
                 score.append(float(1 / np.exp(total - total[k]).sum()))

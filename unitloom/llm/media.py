@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches
+from .common import Scratch, bounded_batches, join_counted
 from .wordhash import chunks
 
 WIDTH = 64
@@ -26,10 +26,15 @@ HEADER = 33
 
 
 def open_store(uri: str):
-    """(file system, path) of a folder that tasks write to: local paths, or any store that Arrow knows by URI."""
+    """(file system, path) of a folder that tasks write to, by the full URI that shared_dir() gives: Hadoop's one-slash file URIs and
+    s3a are put into Arrow's spelling; a path without a scheme is refused, as it would mean a different disk on each machine."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    if "://" not in uri:
+        raise ValueError(f"{uri} does not say which file system it is on")
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri)
 
 
 def chunk(kind: bytes, body: bytes) -> bytes:
@@ -89,7 +94,7 @@ def tar_header(name: str, size: int) -> bytes:
 
 
 def write_shards(docs: DataFrame, folder: str, text: str = "text", shard_bytes: int = 256 << 20) -> DataFrame:
-    """doc_id, n_bytes, digest (of the payload), shard, offset, length (of the stored PNG) of every row; a task's equal payloads
+    """doc_id, n_bytes, digest (SHA-256 of the payload, as bytes), shard, offset, length (of the stored PNG) of every row; a task's equal payloads
     share a member. A shard is written under a new name, so a task that is run again leaves its first try unused."""
 
     def run(batches):
@@ -105,8 +110,8 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", shard_bytes:
                     for d in range(j - i):
                         own = body[offsets[d] : offsets[d + 1]]
                         payload = pad(own)
-                        digest = hashlib.sha256(payload)
-                        if digest.digest() not in known:
+                        digest = hashlib.sha256(payload).digest()
+                        if digest not in known:
                             stored = encode(payload)
                             if out is None or at > shard_bytes:
                                 if out is not None:
@@ -115,15 +120,15 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", shard_bytes:
                                     known.clear()
                                 name, at = f"{uuid.uuid4().hex}.tar", 0
                                 out = store.open_output_stream(f"{root}/{name}", compression=None)
-                            out.write(tar_header(digest.hexdigest() + ".png", len(stored)))
+                            out.write(tar_header(digest.hex() + ".png", len(stored)))
                             out.write(stored)
                             out.write(bytes(-len(stored) % 512))
-                            known[digest.digest()] = (name, at + 512, len(stored))
+                            known[digest] = (name, at + 512, len(stored))
                             at += 512 + len(stored) + -len(stored) % 512
-                        rows.append((len(own), digest.hexdigest(), *known[digest.digest()]))
+                        rows.append((len(own), digest, *known[digest]))
                     columns = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(i, j - i), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True))],
+                        [batch.column(0).slice(i, j - i), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64()), strict=True))],
                         names=["doc_id", "n_bytes", "digest", "shard", "offset", "length"],
                     )
         finally:
@@ -133,13 +138,15 @@ def write_shards(docs: DataFrame, folder: str, text: str = "text", shard_bytes:
 
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col(text).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, digest string, shard string, offset long, length long")
+    return docs.select("doc_id", F.col(text).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, digest binary, shard string, offset long, length long")
 
 
 def ranged(members: DataFrame, folder: str, schema: str, read) -> DataFrame:
-    """members (digest, shard, offset, length) with columns that read(file, offset, length) gives, from range reads in shard order."""
+    """members (digest, shard, offset, length, ...) with columns that read(file, offset, length) gives, from range reads in shard
+    order."""
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.select("digest", "shard", "offset", "length").repartitionByRange(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
+    dealt = members.repartitionByRange(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
+    address = [members.columns.index(c) for c in ("shard", "offset", "length")]
     from pyspark.sql import types as T
 
     added = T.StructType.fromDDL(schema)
@@ -152,7 +159,7 @@ def ranged(members: DataFrame, folder: str, schema: str, read) -> DataFrame:
         name, file = None, None
         for batch in batches:
             rows = []
-            for shard, offset, length in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+            for shard, offset, length in zip(*(batch.column(c).to_pylist() for c in address), strict=True):
                 if shard != name:
                     if file is not None:
                         file.close()
@@ -182,11 +189,10 @@ def stored_columns(members: DataFrame, folder: str) -> DataFrame:
     def read(file, offset, length):
         file.seek(offset)
         stored = file.read(length)
-        width, height, _ = dimensions(stored[:HEADER])
         payload = decode(stored)
-        return width, height, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), length, hashlib.sha256(stored).hexdigest(), feature(payload)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), length, hashlib.sha256(stored).hexdigest(), feature(payload)
 
-    return ranged(members, folder, "width int, height int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", read)
+    return ranged(members, folder, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", read)
 
 
 def catalogue(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[DataFrame, DataFrame, str]:
@@ -194,22 +200,28 @@ def catalogue(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[Da
     by shard and offset. Equal texts in different shards leave copies that nothing points to."""
     folder = scratch.path("shards")
     rows = scratch.write(write_shards(docs, folder, text), "rows")
-    members = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("m")).select("digest", "m.*")
-    return rows.select("doc_id", "n_bytes", "digest"), members, folder
+    members = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("m"), F.count(F.lit(1)).alias("n")).select("digest", "m.*", "n")
+    return rows.select("doc_id", "n_bytes", "digest"), scratch.write(members, "members"), folder
 
 
 def media_table(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, width, height of every row.
-
-    Null and empty texts give a payload of 64 zero bytes. Equal texts share an address, so they have equal values. Repeated rows
-    stay. An empty table gives an empty result. Only doc_id and the text column are read. A payload that does not read back
-    under its digest fails the job.
+    """doc_id, n_bytes, digest, shard, offset, length (the address of the stored PNG), width, height, bits, payload_bytes,
+    payload_sha256, tail_crc32, media_bytes, media_sha256, feature of every row.
+
+    width, height and bits come from header-only range reads (HEADER bytes a member); a second pass reads the members whole, for
+    what only the payload tells, and fails the job where a payload or its size does not agree with digest and header. Null and
+    empty texts give a payload of 64 zero bytes. Equal texts share an address, so they have equal values, and one digest with very
+    many rows is joined without shuffling them. Repeated rows stay. An empty table gives an empty result. Only doc_id and the text
+    column are read.
     """
     scratch = Scratch(docs.sparkSession, "media")
     rows, members, folder = catalogue(docs, scratch, text)
-    held = scratch.write(stored_columns(members, folder), "held")
-    scratch.drop("shards")
-    same = F.when(F.col("payload_sha256") == F.col("digest"), F.col("payload_sha256")).otherwise(F.raise_error(F.lit("a payload does not match its digest")))
-    return rows.join(held.withColumn("payload_sha256", same), "digest").select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height"
+    heads = scratch.write(header_columns(members, folder), "heads")
+    scratch.drop("members")
+    agree = (F.col("payload_sha256") == F.lower(F.hex("digest"))) & (F.col("payload_bytes") == F.col("width").cast("long") * F.col("height"))
+    checked = F.when(agree, F.col("payload_sha256")).otherwise(F.raise_error(F.lit("a payload does not match its digest or header")))
+    held = scratch.write(stored_columns(heads, folder).withColumn("payload_sha256", checked), "held")
+    scratch.drop("shards", "heads")
+    return join_counted(rows, held, ["digest"]).select(
+        "doc_id", "n_bytes", F.lower(F.hex("digest")).alias("digest"), "shard", "offset", "length", "width", "height", "bits", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"
     )

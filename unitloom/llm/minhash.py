@@ -9,18 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches, small_broadcast
+from .common import Scratch, bounded_batches, join_counted, small_broadcast
 from .components import components
 from .wordhash import RunHash, Words, chunks, mix, signed
 
 
 @dataclass(frozen=True)
 class MinHashSpec:
-    """shingle: words a shingle. percent: links have 100 * intersection >= percent * union. bands * rows minima make bands; a
-    pair at similarity 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6. minima: how many the estimate uses. bits: low
-    bits kept of each. slack: an estimate may lie this far below the threshold (over 5 standard errors) and still be confirmed
-    on full sets. sketch: the last round across components also compares the so many smallest hashes of each set, which are the
-    whole sets of most texts."""
+    """shingle: words a shingle. percent: links have 100 * intersection >= percent * union. bands * rows minima make bands.
+    minima: how many the estimate uses. bits: low bits kept of each. slack: an estimate may lie this far below the threshold and
+    still be confirmed on full sets. sketch: the last round across components also compares the so many smallest hashes of each
+    set, which are the whole sets of most texts.
+
+    A link at similarity 0.8 can be lost in three ways: the pair shares no band (chance (1 - 0.8**5)**32 = 3e-6), its estimate
+    lies more than slack low (5.6 standard errors: 1e-8), or its sketches, where they are not whole sets, turn it away (5 standard
+    errors: 3e-7); less than 4e-6 in sum, and less for closer pairs."""
 
     shingle: int = 5
     percent: int = 80
@@ -33,7 +36,9 @@ class MinHashSpec:
 
 
 #: Members of a bucket that one task compares with one other block of members.
-BLOCK = 2048
+BLOCK = 1024
+#: Pairs of one hub that one task confirms, with the hub's set sent once.
+SPOKES = 512
 #: Pairs of two components that one block of a bucket offers, in each round of linking across components; at last all of them.
 OFFERS = (2, None)
 
@@ -160,35 +165,56 @@ def plausible(one: np.ndarray, n_one: int, many: list[np.ndarray], n_many: np.nd
     return shared >= (spec.percent / 100 - slack) * union
 
 
+def spoked(pairs: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) as hub, spoke, part: the hub is the end with more pairs, and its pairs are dealt to parts of about SPOKES; and the
+    ids in any pair."""
+    degree = scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), f"{name}_degree")
+    side = lambda c: degree.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), "n")
+    both = join_counted(scratch.write(join_counted(pairs, side("a"), ["a"]), f"{name}_half"), side("b"), ["b"])
+    more = F.col("na") >= F.col("nb")
+    hubs = both.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.ceil(F.greatest("na", "nb") / SPOKES).cast("int").alias("parts"))
+    return hubs.select("hub", "spoke", F.pmod(F.xxhash64("spoke", F.lit(3)), F.col("parts")).cast("int").alias("part")), degree.select("doc_id")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, spec: MinHashSpec, text: str, scratch: Scratch, name: str) -> DataFrame:
-    """Those pairs (a, b) that hold on full sets. Texts that no pair needs are left behind before anything is shuffled."""
+    """Those pairs (a, b) that hold on full sets. Texts that no pair needs are left behind before anything is shuffled; a hub's set
+    travels once for each part of its pairs, not once a pair."""
     pairs = scratch.write(pairs, f"{name}_pairs")
-    needed = scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}_needed")
+    dealt, needed = spoked(pairs, scratch, name)
+    dealt = scratch.write(dealt, f"{name}_dealt")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null")
     sets = scratch.write(full_sets(rows.join(small_broadcast(needed), "doc_id", "left_semi"), spec), f"{name}_sets")
     percent = spec.percent
 
     def run(batches):
+        hub, part, own = None, None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
+            ends: tuple[list, list] = ([], [])
+            for h, p, spoke, shingles in zip(*(batch.column(c) for c in range(3)), batch.column(3), strict=True):
+                h, p, spoke, x = h.as_py(), p.as_py(), spoke.as_py(), np.frombuffer(shingles.as_buffer(), np.uint64)
+                if spoke is None:  # the hub itself comes before its spokes
+                    hub, part, own = h, p, x.copy()
+                    continue
+                if (h, p) != (hub, part):
+                    raise ValueError("a pair came without its hub")
+                small, large = (x, own) if len(x) < len(own) else (own, x)
                 place = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 shared = int((large[place] == small).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-    out = scratch.write(links, f"{name}_links")
-    scratch.drop(f"{name}_sets", f"{name}_needed")
+                if 100 * shared >= percent * (len(x) + len(own) - shared):
+                    ends[0].append(min(h, spoke))
+                    ends[1].append(max(h, spoke))
+            yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
+
+    hubs = dealt.select("hub", "part").distinct().join(sets.withColumnRenamed("doc_id", "hub"), "hub").select("hub", "part", F.lit(None).cast("long").alias("spoke"), "shingles")
+    spokes = dealt.join(sets.withColumnRenamed("doc_id", "spoke"), "spoke").select("hub", "part", "spoke", "shingles")
+    grouped = hubs.unionByName(spokes).repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("spoke").asc_nulls_first())
+    out = scratch.write(grouped.mapInArrow(run, "a long, b long"), f"{name}_links")
+    scratch.drop(f"{name}_sets", f"{name}_degree", f"{name}_half", f"{name}_dealt")
     return out
 
 
-def estimated(pairs: DataFrame, heads: DataFrame, spec: MinHashSpec) -> DataFrame:
-    """Pairs whose sizes allow the similarity and whose collision-corrected estimate comes near it."""
+def estimated(pairs: DataFrame, heads: DataFrame, spec: MinHashSpec, scratch: Scratch) -> DataFrame:
+    """Pairs whose sizes allow the similarity and whose collision-corrected estimate comes near it. One a may have very many b."""
     k, bits, least = spec.minima, spec.bits, spec.percent / 100 - spec.slack
 
     def run(batches):
@@ -198,20 +224,32 @@ def estimated(pairs: DataFrame, heads: DataFrame, spec: MinHashSpec) -> DataFram
                 yield batch.select([0, 1]).filter(pa.array(agreement(x, y, k, bits) >= least))
 
     side = lambda c, s, n: heads.select(F.col("doc_id").alias(c), F.col("sig").alias(s), F.col("n_shingles").alias(n))
-    return pairs.join(side("a", "x", "n"), "a").join(side("b", "y", "m"), "b").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * spec.percent).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    pairs = scratch.write(pairs, "offered")
+    hubs = scratch.write(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs")).join(side("a", "x", "n"), "a"), "hubs")
+    both = join_counted(pairs, hubs, ["a"], n="pairs").join(side("b", "y", "m"), "b")
+    return both.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * spec.percent).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def meetings(members: DataFrame) -> DataFrame:
+    """members (bucket, doc_id, component, ..., and of their bucket: top, its largest component; n_top, n_rest, rows in it and in the
+    others) with lo, hi (the two blocks that meet) and own (which of them is the row's). Blocks of the largest component are numbered
+    -1, -2, ... and meet the blocks of all others (0, 1, ...), which also meet each other. So the rows of the largest
+    component are copied only where the others fill more than a block."""
+    tops, rests = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_top", "n_rest"))
+    top = F.col("component") == F.col("top")
+    own = F.when(top, -1 - F.pmod(F.xxhash64("doc_id"), tops)).otherwise(F.pmod(F.xxhash64("doc_id"), rests)).cast("int")
+    pair = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+    with_rest = F.transform(F.sequence(F.lit(0), rests - 1), lambda k: F.when(top, pair(F.col("own"), k)).otherwise(pair(F.least("own", k), F.greatest("own", k))))
+    with_top = F.when(top, F.array().cast("array<struct<lo:int,hi:int>>")).otherwise(F.transform(F.sequence(F.lit(0), tops - 1), lambda k: pair(-1 - k, F.col("own"))))
+    return members.withColumn("own", own).withColumn("_meet", F.explode(F.concat(with_rest, with_top))).select(*members.columns, "own", "_meet.lo", "_meet.hi")
 
 
 def across(members: DataFrame, spec: MinHashSpec, offers: int | None) -> DataFrame:
     """Pairs of one bucket that lie in two components so far and pass sizes and estimate; the `offers` likeliest of each two
-    components in a block, or all that their sketches allow. members: bucket, n (its size), doc_id, component, n_shingles, sig,
-    sketch (null but in the last round). Blocks of a bucket meet pairwise,
-    so no task holds more than two blocks."""
+    components in a block, or all that their sketches allow. members: see meetings(); with n_shingles, sig, sketch (null but in the
+    last round). No task holds more than two blocks."""
     k, bits, least, percent = spec.minima, spec.bits, spec.percent / 100 - spec.slack, spec.percent
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "doc_id", "component", "n_shingles", "sig", "sketch"
-    )
+    dealt = meetings(members).select("bucket", "lo", "hi", "own", "doc_id", "component", "n_shingles", "sig", "sketch")
 
     def run(key, table):
         lo, hi = key[1].as_py(), key[2].as_py()
@@ -251,33 +289,36 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec(), text: st
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text, ...).
 
     Equal sets fold into one head first. Bands give buckets of heads. Round one pairs each member with its bucket's smallest
-    head only, so a bucket of m gives m - 1 pairs; the estimate sifts them and full sets confirm. Round two takes buckets
-    that still hold several components and compares across components, in blocks, without writing pairs out before the estimate.
-    It offers the likeliest pairs
-    of each two components first, and all that remain in the end, when few components are left to join.
-    So every link that shares a band is found, yet copies are never expanded into all pairs.
-
-    Null, empty and wordless texts have n_shingles 0 and stand alone. Repeated doc_ids count as one document. An empty table
+    head only, so a bucket of m gives m - 1 pairs; the estimate sifts them and full sets confirm. Later rounds take buckets
+    that still hold several components and compare across components, in blocks, without writing pairs out before the estimate:
+    first the likeliest pairs of each two components, in the end all that remain, when few components are left to join.
+    So every link that shares a band is found (but for the chances that MinHashSpec states), yet copies are never expanded into
+    all pairs.
+
+    Null, empty and wordless texts have n_shingles 0 and stand alone. Repeated doc_ids count as one document, of the smallest
+    component that one of its rows is in; give rows ids of their own where that matters. An empty table
     gives an empty result. Only doc_id and the text column are read; other columns, whatever their names, don't matter.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     sigs = scratch.write(signatures(docs, spec, text), "sigs")
-    classes = sigs.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("head"))
-    heads = scratch.write(sigs.join(classes.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "heads")
+    classes = scratch.write(sigs.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")), "classes")
+    heads = scratch.write(sigs.where("n_shingles > 0").join(classes.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "heads")
     bands = scratch.write(heads.select("doc_id", F.explode("bands").alias("bucket")), "bands")
     shared = scratch.write(bands.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    members = scratch.write(bands.join(shared, "bucket"), "members")
+    members = scratch.write(join_counted(bands, shared, ["bucket"]), "members")
     scratch.drop("bands", "shared")
     slim = heads.select("doc_id", "n_shingles", "sig")
     star = members.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    links = confirmed(estimated(star, slim, spec), docs, spec, text, scratch, "star")
+    links = confirmed(estimated(star, slim, spec, scratch), docs, spec, text, scratch, "star")
     tried = scratch.spark.read.parquet(scratch.path("star_pairs"))
-    near = scratch.write(components(links), "near0")
+    near = components(links, scratch, "near0")
     for k, offers in enumerate(OFFERS):
-        labelled = members.join(near.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("bucket", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        labelled = members.join(near.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
         labelled = scratch.write(labelled, f"labelled{k}")
-        open_ = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("bucket")
-        rest = labelled.join(open_, "bucket", "left_semi").join(slim, "doc_id").withColumn("sketch", F.lit(None).cast("binary"))
+        kinds = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        open_ = kinds.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        open_ = scratch.write(open_.select("bucket", F.col("top.component").alias("top"), F.col("top.n").alias("n_top"), (F.col("n") - F.col("top.n")).alias("n_rest"), "n"), f"open{k}")
+        rest = join_counted(labelled, open_, ["bucket"]).join(slim, "doc_id").withColumn("sketch", F.lit(None).cast("binary"))
         if offers is None:
             rest = scratch.write(rest.drop("sketch"), "rest")
             there = scratch.write(rest.select("doc_id").distinct(), "rest_ids")
@@ -287,12 +328,11 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec(), text: st
         more = confirmed(across(rest, spec, offers).join(tried, ["a", "b"], "left_anti"), docs, spec, text, scratch, f"across{k}")
         tried = tried.unionByName(scratch.spark.read.parquet(scratch.path(f"across{k}_pairs")))
         links = links.unionByName(more)
-        scratch.drop(f"labelled{k}")
+        scratch.drop(f"labelled{k}", f"open{k}")
         if not more.isEmpty():
-            near = scratch.write(components(links), f"near{k + 1}")
-    folded = sigs.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head"))
-    out = scratch.write(
-        folded.join(near.select(F.col("node").alias("head"), "component"), "head", "left").select("doc_id", "n_shingles", F.coalesce("component", "head").alias("component_id")).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id")), "out"
-    )
+            near = components(links, scratch, f"near{k + 1}")
+    found = classes.join(near.select(F.col("node").alias("head"), "component"), "head", "left").select("k1", "k2", "n", F.coalesce("component", "head").alias("component"))
+    joined = join_counted(sigs.select("doc_id", "n_shingles", "k1", "k2"), scratch.write(found, "found"), ["k1", "k2"], "left")
+    out = scratch.write(joined.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min(F.coalesce("component", "doc_id")).alias("component_id")), "out")
     scratch.drop(*(n for n in scratch.written if n != "out"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

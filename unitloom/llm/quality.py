@@ -1,4 +1,9 @@
-"""Robust multivariate outliers among documents: minimum covariance determinant per language and source, in SQL functions only."""
+"""Robust multivariate outliers among documents: minimum covariance determinant per language and source, in SQL functions only.
+
+Estimates are nested: one of all documents, one of each language shrunk towards it, and one of each language and source shrunk
+towards its language's. Each is found from several starts by concentration steps until its determinant no longer falls, and the
+start with the least determinant counts.
+"""
 
 from __future__ import annotations
 
@@ -8,26 +13,33 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch
+from .common import WORD, Scratch, small_broadcast
 
 WINDOW = 8
 P = 4
 #: Vector components are kept in units of 1 / SCALE, so that sums are of whole numbers and don't hang on their order.
 SCALE = 4096
 #: Steps of a histogram of log squared distances, to one unit of the logarithm.
-BINS = 16
+BINS = 32
+#: Key of an estimate over all values of a column; values of the tables are '' (null) or begin with '='.
+ANY = "*"
+STARTS = ("box", "mean", "median")
 
 
 @dataclass(frozen=True)
 class McdSpec:
-    """part: share of a stratum that the determinant is minimised over. steps: concentration steps. least: rows that a
-    (language, source) stratum needs; smaller ones use their language's estimate, and small languages that of all rows.
-    tail: chance that a clean Gaussian document lies beyond the cutoff. floors: standard deviations added to each component
-    (log word length; square roots of the shares of symbols, repeated lines, repeated words), as most documents have none."""
+    """part: share of a stratum's rows that the determinant is minimised over. steps: concentration steps at most (they end when no
+    determinant falls). shrink: rows that the estimate one level up counts for: a stratum of n rows has its own estimate at weight
+    n / (n + shrink). tail: chance that a clean Gaussian document lies beyond the cutoff: one in a hundred million, so that even a
+    corpus of billions loses a few dozen. smooth: words of ordinary text added to each text, so that short ones scatter less.
+    floors: standard deviations added to each component (log word length; square roots of the shares of symbols, repeated lines
+    and repeated words): about the sampling errors 1 / (2 sqrt(m)) of the shortest texts that pass the base rule (20 words and
+    the smoothing: m = 350 characters, 6 to 25 lines, 25 to 70 words), without which strata where a share is always 0 would reject
+    the first text that has one."""
 
     part: float = 0.75
-    steps: int = 5
-    least: int = 100
+    steps: int = 8
+    shrink: float = 50.0
     tail: float = 1e-8
     floors: tuple[float, ...] = (0.03, 0.03, 0.1, 0.1)
     smooth: int = 50
@@ -51,27 +63,45 @@ def consistency(part: float) -> float:
 
 
 def repeated_words(words: Column, hashes: Column) -> Column:
-    """Words in WINDOW-word windows that occur twice or more. Texts whose window hashes differ are done; for the others the
-    windows themselves are sorted, and the places of equal neighbours merged."""
-    n = F.size(hashes)
+    """Words in WINDOW-word windows that occur twice or more. Texts whose window hashes differ are done; of the others, windows with a
+    hash that occurs again are compared themselves, and the places of equal ones merged."""
+
+    def twins(s: Column, same, place) -> Column:
+        """Places of the elements of a sorted array that equal a neighbour, ascending."""
+        twice = F.transform(s, lambda e, j: F.when(((j > 0) & (same(F.get(s, j - 1)) == same(e))) | (same(F.get(s, j + 1)) == same(e)), place(e)))
+        return F.array_sort(F.filter(twice, lambda i: i.isNotNull()))
 
     def covered(s: Column) -> Column:
-        twice = F.transform(s, lambda e, j: F.when(((j > 0) & (F.get(s, j - 1)["w"] == e["w"])) | ((j < n - 1) & (F.get(s, j + 1)["w"] == e["w"])), e["i"]))
-        places = F.array_sort(F.filter(twice, lambda i: i.isNotNull()))
         start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("total"))
         add = lambda a, i: F.struct((i + WINDOW).alias("end"), (a["total"] + i + WINDOW - F.greatest(a["end"], i)).alias("total"))
-        return F.aggregate(places, start, add, lambda a: a["total"])
+        return F.aggregate(twins(s, lambda e: e["w"], lambda e: e["i"]), start, add, lambda a: a["total"])
+
+    def compared(s: Column) -> Column:
+        windows = F.transform(twins(s, lambda e: e["h"], lambda e: e["i"]), lambda i: F.struct(F.array_join(F.slice(words, i + 1, WINDOW), " ").alias("w"), i.alias("i")))
+        return bound(F.sort_array(windows), covered)
+
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(bound(F.sort_array(placed), compared)).cast("long")
+
+
+def bound(value: Column, use) -> Column:
+    """use(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    windows = F.transform(hashes, lambda _, i: F.struct(F.array_join(F.slice(words, i + 1, WINDOW), " ").alias("w"), i.alias("i")))
-    exact = F.get(F.transform(F.array(F.sort_array(windows)), covered), F.lit(0))
-    return F.when(F.size(F.array_distinct(hashes)) == n, F.lit(0)).otherwise(exact).cast("long")
+
+def row_keys(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with _lang and _source ('' for null, else '=' and the value) and _row1, _row2: 128 bits of hash over all that a row's
+    verdict hangs on, its text, language and source."""
+    rows = docs.select("*", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(f"_{c}") for c in ("lang", "source")])
+    body = F.col(text).cast("string")
+    return rows.select("*", *[F.xxhash64(F.lit(k), F.col("_lang"), F.col("_source"), body.isNull(), body).alias(f"_row{k}") for k in (1, 2)])
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs' doc_id, lang, source and the base statistics; see robust_outliers."""
+    """docs' doc_id, lang and source keys, row1, row2 and the base statistics; see row_keys and robust_outliers."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(
-        "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+    rows = row_keys(docs.select("doc_id", "lang", "source", text), text).select(
+        "doc_id", F.col("_lang").alias("lang"), F.col("_source").alias("source"), F.col("_row1").alias("row1"), F.col("_row2").alias("row2"),
         F.regexp_extract_all(body, F.lit(WORD), F.lit(0)).alias("_words"),
         F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD)).alias("_lines"),
@@ -81,7 +111,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     windows = F.when(F.size("_words") >= WINDOW, F.transform(F.sequence(F.lit(0), F.size("_words") - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
     rows = rows.withColumn("_windows", windows)
     return rows.select(
-        "doc_id", "lang", "source",
+        "doc_id", "lang", "source", "row1", "row2",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         "n_symbols",
@@ -114,34 +144,68 @@ def distance() -> list[tuple[str, str]]:
 
 
 PAIRS = [(i, j) for i in range(1, P + 1) for j in range(1, i + 1)]
+Q = [f"q{i}" for i in range(1, P + 1)]
+KEYS = ["lang", "source"]
+MOMENTS = [*(f"s{i}" for i in range(1, P + 1)), *(f"s{i}{j}" for i, j in PAIRS)]
+PRIOR = [*(f"m{i}" for i in range(1, P + 1)), *(f"c{i}{j}" for i, j in PAIRS)]
+NAMES = [*PRIOR, *(f"l{i}{j}" for i, j in PAIRS), "det"]
 
 
-def sums(inside: str = "") -> list[tuple[str, str]]:
-    """Exact sums of rows, components and products."""
-    whole = lambda x: f"sum(cast({x} as decimal(20, 0)))"
-    return [("n", "sum(cast(1 as bigint))"), *((f"s{i}", whole(f"q{i}")) for i in range(1, P + 1)), *((f"s{i}{j}", whole(f"q{i} * q{j}")) for i, j in PAIRS)]
+def sums() -> list[tuple[str, str]]:
+    """Exact sums of counted cells: rows, components and products."""
+    whole = lambda x: f"sum(cast({x} as decimal(28, 0)))"
+    return [("n", "sum(cast(n as bigint))"), *((f"s{i}", whole(f"n * q{i}")) for i in range(1, P + 1)), *((f"s{i}{j}", whole(f"n * q{i} * q{j}")) for i, j in PAIRS)]
 
 
-def estimate(factor: float, floors: tuple[float, ...]) -> list[tuple[str, str]]:
-    """Centre and Cholesky factor of the covariance (times factor, plus the floors' squares) from sums."""
-    out = [(f"m{i}", f"cast(s{i} as double) / n") for i in range(1, P + 1)]
-    out += [(f"c{i}{j}", f"{number(factor)} * (cast(s{i}{j} as double) / n - m{i} * m{j})" + (f" + {number((floors[i - 1] * SCALE) ** 2)}" if i == j else "")) for i, j in PAIRS]
+def factored() -> list[tuple[str, str]]:
+    """Cholesky factor of the covariance c, and its determinant's square root."""
+    out = []
     for i, j in PAIRS:
         rest = "".join(f" - l{i}{k} * l{j}{k}" for k in range(1, j))
         out.append((f"l{i}{j}", f"sqrt(greatest(c{i}{j}{rest}, {number(1)}))" if i == j else f"(c{i}{j}{rest}) / l{j}{j}"))
-    return out
+    return [*out, ("det", " * ".join(f"l{i}{i}" for i in range(1, P + 1)))]
 
 
-NAMES = [*(f"m{i}" for i in range(1, P + 1)), *(f"l{i}{j}" for i, j in PAIRS)]
+def estimate(factor: float, spec: McdSpec) -> list[tuple[str, str]]:
+    """Centre, covariance (times factor, plus the floors' squares), both shrunk towards the prior pm, pc by weight own, and the
+    Cholesky factor, from sums over h rows."""
+    mix = lambda a, b: f"own * ({a}) + (1 - own) * {b}"
+    out = [(f"r{i}", f"cast(s{i} as double) / h") for i in range(1, P + 1)]
+    out += [(f"m{i}", mix(f"r{i}", f"pm{i}")) for i in range(1, P + 1)]
+    out += [(f"c{i}{j}", mix(f"{number(factor)} * (cast(s{i}{j} as double) / h - r{i} * r{j})" + (f" + {number((spec.floors[i - 1] * SCALE) ** 2)}" if i == j else ""), f"pc{i}{j}")) for i, j in PAIRS]
+    return [*out, *factored()]
 
 
-def first_guess(spec: McdSpec, first: int) -> list[tuple[str, str]]:
-    """Medians and quartile ranges, no correlation. first: index of an array's first element."""
-    out = [(f"m{i}", f"cast(p{i}[{first + 1}] as double)") for i in range(1, P + 1)]
+def medians(spec: McdSpec, first: int) -> list[tuple[str, str]]:
+    """A start from medians and quartile ranges, without correlation. p: five quantiles each; first: index of an array's first."""
+    out = [(f"m{i}", f"cast(p{i}[{first + 2}] as double)") for i in range(1, P + 1)]
     for i, j in PAIRS:
-        spread = f"(cast(p{i}[{first + 2}] as double) - cast(p{i}[{first}] as double)) / {number(1.349)}"
-        out.append((f"l{i}{j}", f"sqrt({spread} * {spread} + {number((spec.floors[i - 1] * SCALE) ** 2)})" if i == j else number(0)))
-    return out
+        spread = f"(cast(p{i}[{first + 3}] as double) - cast(p{i}[{first + 1}] as double)) / {number(1.349)}"
+        out.append((f"c{i}{j}", f"{spread} * {spread} + {number((spec.floors[i - 1] * SCALE) ** 2)}" if i == j else number(0)))
+    return [*out, *factored()]
+
+
+QUANTILES = (0.125, 0.25, 0.5, 0.75, 0.875)
+
+
+def in_box(first: int) -> str:
+    """Whether every component lies between its outer quantiles."""
+    return " and ".join(f"q{i} >= p{i}[{first}] and q{i} <= p{i}[{first + 4}]" for i in range(1, P + 1))
+
+
+def running(spec: McdSpec) -> list[tuple[str, str]]:
+    """Of each bin: rows in nearer bins, the rows that the subset has, and the part of this bin that it takes in."""
+    by = "partition by lang, source, start"
+    return [
+        ("n_before", f"coalesce(sum(n) over ({by} order by bin rows between unbounded preceding and 1 preceding), 0)"), ("h", f"{number(spec.part)} * sum(n) over ({by})"),
+        ("share", f"case when n_before + n <= h then {number(1)} when n_before < h then (h - n_before) / n else {number(0)} end"),
+    ]
+
+
+def subset() -> list[tuple[str, str]]:
+    """Sums over the nearest rows: whole bins exactly, and the one bin that is cut in proportion."""
+    part = lambda c: f"coalesce(cast(sum(case when share = 1 then {c} end) as double), 0) + coalesce(max(case when share < 1 then share * cast({c} as double) end), 0)"
+    return [("h", "max(h)"), *((c, part(c)) for c in MOMENTS)]
 
 
 def chain(df: DataFrame, steps: list[tuple[str, str]]) -> DataFrame:
@@ -154,13 +218,49 @@ def aggregated(df: DataFrame, by: list[str], steps: list[tuple[str, str]]) -> Da
     return df.groupBy(*by).agg(*[F.expr(sql).alias(name) for name, sql in steps])
 
 
+def edge() -> int:
+    """The last bin within the 97.5 % point."""
+    return math.floor(math.log(chi2_point(0.025, P) + 0.0001) * BINS)
+
+
+def determinants(cells: DataFrame, prior: DataFrame, spec: McdSpec, scratch: Scratch, level: int) -> DataFrame:
+    """lang, source and the estimate (NAMES) of each stratum of cells (lang, source, q, n). prior: pm, pc and own of each."""
+    name = lambda what: f"{what}{level}"
+    prior = small_broadcast(scratch.write(prior, name("prior")))
+    quantiles = scratch.write(aggregated(cells, KEYS, [(f"p{i}", f"percentile(q{i}, array({', '.join(map(str, QUANTILES))}), n)") for i in range(1, P + 1)]), name("quantiles"))
+    median = chain(quantiles, medians(spec, 0)).withColumn("start", F.lit("median"))
+    boxed = cells.join(small_broadcast(quantiles), KEYS).where(in_box(0)).select(*cells.columns, F.lit("box").alias("start"))
+    moments = aggregated(cells.withColumn("start", F.lit("mean")).unionByName(boxed), [*KEYS, "start"], sums()).withColumn("h", F.col("n").cast("double"))
+    own = chain(moments.join(prior, KEYS), estimate(1.0, spec))
+    state = scratch.write(median.select(*KEYS, "start", *NAMES).unionByName(own.select(*KEYS, "start", *NAMES)).withColumn("falls", F.lit(True)), name("state0_"))
+    for step in range(spec.steps):
+        near = chain(cells.join(small_broadcast(state.select(*KEYS, "start", *NAMES)), KEYS), distance())
+        bins = chain(aggregated(near, [*KEYS, "start", "bin"], sums()), running(spec))
+        total = aggregated(bins, [*KEYS, "start"], subset())
+        found = chain(total.join(prior, KEYS), estimate(consistency(spec.part), spec)).select(*KEYS, "start", *[F.col(n).alias(f"_{n}") for n in NAMES])
+        falls = F.lit(True) if step == 0 else F.col("_det") < F.col("det") * (1 - 1e-9)
+        both = state.drop("falls").join(found, [*KEYS, "start"]).withColumn("falls", falls)
+        state = scratch.write(both.select(*KEYS, "start", *[F.when(F.col("falls"), F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in NAMES], "falls"), f"state{step + 1}_{level}")
+        if state.where("falls").isEmpty():
+            break
+    least = state.groupBy(*KEYS).agg(F.min_by(F.struct(*NAMES), F.struct("det", "start")).alias("e")).select(*KEYS, "e.*")
+    least = scratch.write(least, name("least"))
+    inside = aggregated(chain(cells.join(small_broadcast(least), KEYS), distance()).where(f"bin <= {edge()}"), KEYS, sums()).withColumn("h", F.col("n").cast("double"))
+    final = chain(inside.join(prior, KEYS), estimate(consistency(0.975), spec)).select(*KEYS, *[F.col(n).alias(f"_{n}") for n in NAMES])
+    kept = [F.when(F.col("_det").isNotNull(), F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in NAMES]
+    return scratch.write(least.join(final, KEYS, "left").select(*KEYS, *kept), name("estimate"))
+
+
 def robust_outliers(docs: DataFrame, spec: McdSpec = McdSpec(), text: str = "text") -> DataFrame:  # noqa: B008
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, stratum, distance2 of each row.
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance2 (from the estimate of the row's
+    language and source), row1, row2 (see row_keys) of each row.
 
-    Each stratum's location and scatter start from medians and quartiles. A concentration step bins the rows by distance,
-    with exact sums of components and products per bin, so one aggregation of a few hundred bins per stratum gives the sums
-    over the nearest part; a last step reweights to the rows within the 97.5 % point. Rows beyond the cutoff are rejected.
-    Only the small tables of bins and estimates are joined to the rows; a hot source is aggregated before any shuffle.
+    Rows are first counted per stratum and vector, so a hot source is aggregated before any shuffle, and all steps read these cells.
+    A concentration step bins the cells by distance, with exact sums of components and products per bin, so a stratum's few hundred
+    bins give the sums over exactly `part` of its rows (the last bin counts in proportion). Starts: medians and quartile ranges;
+    mean and covariance of all rows; those of the rows within the outer quantiles of every component. The start with the least
+    determinant is reweighted to the rows within its 97.5 % point. Rows beyond the cutoff are rejected.
+    Only the small tables of bins and estimates are joined to the rows.
 
     Null and empty texts have no words, so they fail the base rule. Null language or source is a value of its own. Rows that
     fail the base rule don't shape the estimates. Repeated rows count as often as they occur. An empty table gives an empty
@@ -169,37 +269,29 @@ def robust_outliers(docs: DataFrame, spec: McdSpec = McdSpec(), text: str = "tex
     scratch = Scratch(docs.sparkSession, "quality")
     base = scratch.write(chain(statistics(docs, text), [("base_failed", BASE_FAILED)]), "base")
     rows = chain(base.where("not base_failed"), vector(spec))
-    counts = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = counts.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    strata = scratch.write(
-        counts.join(by_lang, "lang").select("lang", "source", F.expr(f"case when n >= {spec.least} then concat('s:', lang, ':', source) when n_lang >= {spec.least} then concat('l:', lang) else 'all' end").alias("stratum")), "strata"
-    )
-    rows = scratch.write(rows.join(strata, ["lang", "source"]).select("doc_id", "lang", "stratum", *[f"q{i}" for i in range(1, P + 1)]), "rows")
-    # A stratum of a language takes in all rows of that language, and 'all' takes in every row.
-    used = scratch.write(strata.select("stratum").distinct(), "used")
-    levels = rows.where("stratum like 's:%'").unionByName(rows.withColumn("stratum", F.concat(F.lit("l:"), "lang")).join(used, "stratum", "left_semi")).unionByName(rows.withColumn("stratum", F.lit("all")).join(used, "stratum", "left_semi"))
-    quartiles = aggregated(levels, ["stratum"], [(f"p{i}", f"percentile(q{i}, array(0.25, 0.5, 0.75))") for i in range(1, P + 1)])
-    guess = scratch.write(chain(quartiles, first_guess(spec, 0)).select("stratum", *NAMES), "guess0")
-    for step in range(spec.steps + 1):
-        last = step == spec.steps
-        bins = aggregated(chain(levels.join(guess, "stratum"), distance()), ["stratum", "bin"], sums())
-        edge = math.floor(math.log(chi2_point(0.025, P) + 0.0001) * BINS)
-        inside = bins.where(f"bin <= {edge}") if last else chain(bins, running(spec)).where("n_before < n_all")
-        total = inside.groupBy("stratum").agg(*[F.sum(c).alias(c) for c, _ in sums()])
-        guess = scratch.write(chain(total, estimate(consistency(0.975 if last else spec.part), spec.floors)).select("stratum", *NAMES), f"guess{step + 1}")
+    cells = scratch.write(rows.groupBy(*KEYS, *Q).agg(F.count(F.lit(1)).alias("n")), "cells")
+    above = None
+    for level, known in enumerate(((), ("lang",), ("lang", "source"))):
+        keys = [F.col(k) if k in known else F.lit(ANY).alias(k) for k in KEYS]
+        own = cells.select(*keys, *Q, "n").groupBy(*KEYS, *Q).agg(F.sum("n").alias("n"))
+        own = scratch.write(own, f"cells{level}") if level < 2 else cells
+        counts = own.groupBy(*KEYS).agg(F.sum("n").alias("n"))
+        if above is None:
+            prior = counts.select(*KEYS, F.lit(1.0).alias("own"), *[F.lit(0.0).alias(f"p{n}") for n in PRIOR])
+        else:
+            parent = [F.col(k) if k in known[:-1] else F.lit(ANY).alias(k) for k in KEYS]
+            up = above.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[F.col(n).alias(f"p{n}") for n in PRIOR])
+            prior = counts.select(*KEYS, "n", *[p.alias(f"_{k}") for p, k in zip(parent, KEYS, strict=True)]).join(up, ["_lang", "_source"])
+            prior = prior.select(*KEYS, (F.col("n") / (F.col("n") + F.lit(spec.shrink))).alias("own"), *[f"p{n}" for n in PRIOR])
+        above = determinants(own, prior, spec, scratch, level)
     cutoff = chi2_point(spec.tail, P)
-    scored = chain(base, vector(spec)).join(strata, ["lang", "source"], "left").join(guess, "stratum", "left")
-    return chain(scored, distance()).select(
+    scored = chain(chain(base, vector(spec)).join(small_broadcast(above), KEYS, "left"), distance())
+    return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)).alias("kept"), "stratum", F.when(~F.col("base_failed"), F.col("d2")).alias("distance2"),
+        (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff)).alias("kept"), F.when(~F.col("base_failed"), F.col("d2")).alias("distance2"), "row1", "row2",
     )
 
 
-def running(spec: McdSpec) -> list[tuple[str, str]]:
-    """Rows in nearer bins, and how many the nearest part has."""
-    return [("n_before", "coalesce(sum(n) over (partition by stratum order by bin rows between unbounded preceding and 1 preceding), 0)"), ("n_all", f"{spec.part!r} * sum(n) over (partition by stratum)")]
-
-
 def oracle(spec: McdSpec = McdSpec()) -> str:  # noqa: B008
     """The same result in DuckDB's SQL over a table documents."""
 
@@ -209,27 +301,45 @@ def oracle(spec: McdSpec = McdSpec()) -> str:  # noqa: B008
         return source
 
     columns = lambda steps: ", ".join(f"{sql} as {name}" for name, sql in steps)
+    key = lambda c: f"coalesce('=' || {c}, '')"
+    names = ", ".join(NAMES)
     with_ = [
-        f"""words as materialized (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce("text", '') as body, regexp_extract_all(coalesce("text", ''), '{WORD}') as w from documents)""",
+        f"""words as materialized (select doc_id, {key('lang')} as lang, {key('source')} as source, coalesce("text", '') as body, regexp_extract_all(coalesce("text", ''), '{WORD}') as w from documents)""",
         f"""lines as (select doc_id, lang, source, body, w, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{WORD}')) as ls, case when len(w) >= {WINDOW} then list_transform(range(1, len(w) - {WINDOW - 2}), lambda i: array_to_string(w[i:i + {WINDOW - 1}], ' ')) else [] end as g from words)""",
         """windows as (select doc_id, unnest(g) as g, unnest(range(0, len(g))) as i from lines)""",
         """twice as (select doc_id, i, count(*) over (partition by doc_id, g) as n from windows)""",
         f"""cover as (select doc_id, cast(sum(least({WINDOW}, coalesce(nxt - i, {WINDOW}))) as bigint) as n_repeat_words from (select doc_id, i, lead(i) over (partition by doc_id order by i) as nxt from twice where n > 1) group by doc_id)""",
         f"""base as materialized (select l.doc_id, lang, source, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(len(regexp_extract_all(body, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, len(w) < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * len(w) as base_failed from lines l left join cover c on l.doc_id = c.doc_id)""",
-        f"""strata as materialized (select lang, source, case when n >= {spec.least} then 's:' || lang || ':' || source when n_lang >= {spec.least} then 'l:' || lang else 'all' end as stratum from (select lang, source, n, sum(n) over (partition by lang) as n_lang from (select lang, source, count(*) as n from base where not base_failed group by 1, 2)))""",
-        f"""rows_ as materialized (select b.doc_id, b.lang, stratum, q1, q2, q3, q4 from {extended('(select * from base where not base_failed)', vector(spec))} b join strata s on b.lang = s.lang and b.source = s.source)""",
-        """levels as materialized (select stratum, q1, q2, q3, q4 from rows_ where stratum like 's:%' union all select 'l:' || lang, q1, q2, q3, q4 from rows_ where 'l:' || lang in (select stratum from strata) union all select 'all', q1, q2, q3, q4 from rows_ where 'all' in (select stratum from strata))""",
-        f"""guess0 as materialized (select stratum, {', '.join(NAMES)} from {extended('(select stratum, ' + ', '.join(f'quantile_cont(q{i}, [0.25, 0.5, 0.75]) as p{i}' for i in range(1, P + 1)) + ' from levels group by stratum)', first_guess(spec, 1))})""",
+        f"""vectors as materialized (select lang, source, {', '.join(Q)} from {extended('(select * from base where not base_failed)', vector(spec))})""",
     ]
-    for step in range(spec.steps + 1):
-        last = step == spec.steps
-        near = f"(select levels.*, {', '.join(f'g.{n}' for n in NAMES)} from levels join guess{step} g on levels.stratum = g.stratum)"
-        bins = f"(select stratum, bin, {columns(sums())} from {extended(near, distance())} group by stratum, bin)"
-        edge = math.floor(math.log(chi2_point(0.025, P) + 0.0001) * BINS)
-        inside = f"(select * from {bins} where bin <= {edge})" if last else f"(select * from {extended(bins, running(spec))} where n_before < n_all)"
-        total = f"(select stratum, {', '.join(f'sum({c}) as {c}' for c, _ in sums())} from {inside} group by stratum)"
-        with_.append(f"guess{step + 1} as materialized (select stratum, {', '.join(NAMES)} from {extended(total, estimate(consistency(0.975 if last else spec.part), spec.floors))})")
-    scored = f"(select b.*, s.stratum, {', '.join(f'g.{n}' for n in NAMES)} from {extended('base', vector(spec))} b left join strata s on b.lang = s.lang and b.source = s.source left join guess{spec.steps + 1} g on s.stratum = g.stratum)"
+    for level, (lang, source) in enumerate(((f"'{ANY}'", f"'{ANY}'"), ("lang", f"'{ANY}'"), ("lang", "source"))):
+        with_.append(f"rows{level} as materialized (select {lang} as lang, {source} as source, {', '.join(Q)} from vectors)")
+        with_.append(f"cells{level} as materialized (select lang, source, {', '.join(Q)}, count(*) as n from rows{level} group by all)")
+        if level == 0:
+            with_.append(f"prior0 as materialized (select distinct lang, source, {number(1)} as own, {', '.join(f'{number(0)} as p{n}' for n in PRIOR)} from rows0)")
+        else:
+            up = "true" if level == 1 else "c.lang = e.lang"
+            with_.append(f"prior{level} as materialized (select c.lang, c.source, c.n / (c.n + {number(spec.shrink)}) as own, {', '.join(f'e.{n} as p{n}' for n in PRIOR)} from (select lang, source, cast(sum(n) as double) as n from cells{level} group by 1, 2) c join estimate{level - 1} e on {up})")
+        quantiles = ", ".join(f"quantile_cont(q{i}, [{', '.join(map(str, QUANTILES))}]) as p{i}" for i in range(1, P + 1))
+        with_.append(f"quantiles{level} as materialized (select lang, source, {quantiles} from rows{level} group by 1, 2)")
+        boxed = f"(select c.*, 'box' as start from cells{level} c join quantiles{level} p on c.lang = p.lang and c.source = p.source where {in_box(1)})"
+        moments = f"(select lang, source, start, cast(sum(n) as double) as h, {columns(sums())} from (select *, 'mean' as start from cells{level} union all select * from {boxed}) group by 1, 2, 3)"
+        joined = lambda t: f"(select t.*, own, {', '.join(f'p{n}' for n in PRIOR)} from {t} t join prior{level} p on t.lang = p.lang and t.source = p.source)"  # noqa: B023, E731
+        with_.append(
+            f"state{level}_0 as materialized (select lang, source, 'median' as start, {names} from {extended(f'quantiles{level}', medians(spec, 1))} union all select lang, source, start, {names} from {extended(joined(moments), estimate(1.0, spec))})"
+        )
+        for step in range(spec.steps):
+            near = lambda t, more="": f"(select c.*{more}, {', '.join(f's.{n}' for n in NAMES)} from cells{level} c join {t} s on c.lang = s.lang and c.source = s.source)"  # noqa: B023, E731
+            bins = f"(select lang, source, start, bin, {columns(sums())} from {extended(near(f'state{level}_{step}', ', s.start'), distance())} group by 1, 2, 3, 4)"
+            total = f"(select lang, source, start, {columns(subset())} from {extended(bins, running(spec))} group by 1, 2, 3)"
+            falls = "true" if step == 0 else f"f.det < s.det * (1 - {number(1e-9)})"
+            chosen = ", ".join(f"case when {falls} then f.{n} else s.{n} end as {n}" for n in NAMES)
+            with_.append(f"state{level}_{step + 1} as materialized (select s.lang, s.source, s.start, {chosen} from state{level}_{step} s join {extended(joined(total), estimate(consistency(spec.part), spec))} f on s.lang = f.lang and s.source = f.source and s.start = f.start)")
+        with_.append(f"least{level} as materialized (select lang, source, {names} from (select *, row_number() over (partition by lang, source order by det, start) as place from state{level}_{spec.steps}) where place = 1)")
+        inside = f"(select lang, source, cast(sum(n) as double) as h, {columns(sums())} from (select * from {extended(near(f'least{level}'), distance())} where bin <= {edge()}) group by 1, 2)"
+        kept = ", ".join(f"case when f.det is not null then f.{n} else e.{n} end as {n}" for n in NAMES)
+        with_.append(f"estimate{level} as materialized (select e.lang, e.source, {kept} from least{level} e left join {extended(joined(inside), estimate(consistency(0.975), spec))} f on e.lang = f.lang and e.source = f.source)")
+    scored = f"(select b.*, {', '.join(f'e.{n}' for n in NAMES)} from {extended('base', vector(spec))} b left join estimate2 e on b.lang = e.lang and b.source = e.source)"
     return (
         "with " + ",\n".join(with_) + f"\nselect doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(d2, 0) <= {number(chi2_point(spec.tail, P))} as kept"
         f" from {extended(scored, distance())}"

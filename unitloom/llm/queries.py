@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, quality, url_filter, warc
-from .language import identify
+from .language import LanguageSpec, identify
 from .media import media_table
 from .minhash import MinHashSpec, near_duplicates
-from .mixing import mix_sources
-from .packing import pack_documents
+from .mixing import MixSpec, mix_sources
+from .packing import PackSpec, pack_documents
 from .relative_lz import cut_spans
 
+#: Folder of the public vocabulary files, where spark.unitloom.vocabularies does not name another.
+VOCABULARIES = "/opt/tokenizers"
+
+
+def vocabulary(spark: SparkSession, name: str) -> str:
+    """Path of a public vocabulary file. The setting spark.unitloom.vocabularies names their folder."""
+    return f"{spark.conf.get('spark.unitloom.vocabularies', VOCABULARIES)}/{name}"
+
+
+def byte_ranks(spark: SparkSession) -> str:
+    return vocabulary(spark, "byte_bpe_50k.tiktoken")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -20,7 +32,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics, and rejection by robust Mahalanobis distance per language and source."""
-    return quality.robust_outliers(table(spark, folder, "documents")).drop("stratum", "distance2")
+    return quality.robust_outliers(table(spark, folder, "documents")).drop("distance2", "row1", "row2")
 
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,17 +42,18 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces in bins of several lengths."""
-    return pack_documents(table(spark, folder, "documents"))
+    return pack_documents(table(spark, folder, "documents"), PackSpec(byte_ranks(spark)))
 
 
 def op4_media(spark: SparkSession, folder: str) -> DataFrame:
     """Every text stored as a PNG in tar shards and read back."""
-    return media_table(table(spark, folder, "documents"))
+    return media_table(table(spark, folder, "documents")).drop("digest", "shard", "offset", "length")
 
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's calibrated probability, and whether it is drawn."""
-    return mix_sources(table(spark, folder, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
+    found = mix_sources(table(spark, folder, "documents"), MixSpec(byte_ranks(spark)))
+    return found.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected", "marginal_miss")
 
 
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +65,7 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's language, learned from the four fifths that are not held out."""
     docs = table(spark, folder, "documents")
     held_out = lambda: F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    return identify(docs, ~held_out()).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(docs, ~held_out(), LanguageSpec(vocabulary(spark, "piece_bpe_32k.model"))).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -47,7 +47,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", default:
     """
     parsed = urls.select(F.col(key), F.col("url").cast("string").alias("_url")).select(key, *(c.alias(n) for c, n in zip(host_and_path("_url"), ("host", "path"), strict=True)))
     known = split_rules(rules)
-    reach = known.agg(F.count(F.lit(1)).alias("n"), F.max("labels").alias("labels"), F.max("depth").alias("depth")).first()
+    reach = known.agg(F.max("labels").alias("labels"), F.max("depth").alias("depth")).first()
     labels, depth = reach["labels"] or 0, reach["depth"] or 0
     sites = parsed.where("host <> ''").select("host", "path").distinct()
     # suffixes of 1..labels labels; path prefixes with 1..depth - 1 slashes
@@ -58,7 +58,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, key: str = "page_id", default:
     expanded = sites.select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("folders")).select("host", "path", F.explode("folders").alias("folder"), "suffix")
     expanded = expanded.withColumn("full", F.sha2(F.concat("suffix", "folder"), 256)).withColumn("prefix", F.substring("full", 1, PREFIX))
     table = known.select("rule", "verdict", F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "prefix", "digest")
-    hits = expanded.join(small_broadcast(table, reach["n"]), "prefix").where("full = digest and suffix = rule_host and startswith(path, rule_path)")
+    hits = expanded.join(small_broadcast(table), "prefix").where("full = digest and suffix = rule_host and startswith(path, rule_path)")
     order = F.struct((F.length("rule_host") + F.length("rule_path")).alias("n"), F.length("rule_host").alias("h"), F.col("verdict").alias("v"), F.col("rule").alias("r"))
     won = hits.groupBy("host", "path").agg(F.max(order).alias("w")).select("host", "path", F.col("w.r").alias("rule"), F.col("w.v").alias("verdict"))
     return parsed.join(won, ["host", "path"], "left").select(key, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))

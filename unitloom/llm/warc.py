@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches
+from .common import Scratch, bounded_batches, join_counted, small_broadcast
 from .media import open_store
 
 #: Magic number of the skippable frame that holds the dictionary.
@@ -28,7 +28,7 @@ DATE = "2024-01-01T00:00:00Z"
 class WarcSpec:
     """least_bytes: smaller payloads are always responses. file_bytes: records of about so many bytes make a file (they are held
     until its dictionary is built). dictionary: its size. sample_bytes: of the file's records, evenly spread ones up to this many
-    bytes train the dictionary. level: of compression."""
+    bytes, in pieces of 128 KB, train the dictionary. level: of compression."""
 
     least_bytes: int = 0
     file_bytes: int = 24 << 20
@@ -41,14 +41,25 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str, payload: bytes, size: int, digest: str, refers_to: int | None) -> bytes:
+def urn(page_id: int | None) -> str:
+    """The record id of a page: its 64 bits as a UUID. A page without an id has the first UUID beyond those."""
+    return f"<urn:uuid:{uuid.UUID(int=1 << 64 if page_id is None else page_id & ((1 << 64) - 1))}>"
+
+
+def page_of(name: str) -> int | None:
+    """The page of a record id."""
+    value = uuid.UUID(name[len("<urn:uuid:") : -1]).int
+    return None if value >> 64 else value - (1 << 64) if value >> 63 else value
+
+
+def record(page_id: int | None, url: str, payload: bytes, size: int, digest: str, refers_to: int | None) -> bytes:
     """One WARC 1.1 record: a response with its payload, or a revisit with the HTTP header only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     lines = [
         "WARC/1.1",
         "WARC-Type: " + ("response" if refers_to is None else "revisit"),
-        f"WARC-Record-ID: <urn:uuid:{uuid.UUID(int=page_id & ((1 << 64) - 1))}>",
+        f"WARC-Record-ID: {urn(page_id)}",
         f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response",
@@ -57,15 +68,10 @@ def record(page_id: int, url: str, payload: bytes, size: int, digest: str, refer
     if url:
         lines.append("WARC-Target-URI: " + re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", url))
     if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:uuid:{uuid.UUID(int=refers_to & ((1 << 64) - 1))}>"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {urn(refers_to)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def page_of(urn: str) -> int:
-    value = uuid.UUID(urn[len("<urn:uuid:") : -1]).int
-    return value - (1 << 64) if value >> 63 else value
-
-
 def parse(raw: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Header fields (names in lower case), HTTP header and payload of a record."""
     head, _, rest = raw.partition(b"\r\n\r\n")
@@ -118,12 +124,23 @@ def read_dictionary(file):
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(zstandard.ZstdDecompressor().decompress(file.read(size))))
 
 
-def archive(pages: DataFrame, folder: str, spec: WarcSpec = WarcSpec()) -> DataFrame:  # noqa: B008
+def revisits(rows: DataFrame, spec: WarcSpec, scratch: Scratch) -> DataFrame:
+    """page_id, sha, refers_to: which payloads of which pages are revisits, and of which page. rows: page_id, bytes, sha.
+
+    Digests alone are shuffled. Of equal payloads of at least least_bytes bytes the one with the largest page_id is the response;
+    a null page_id is smaller than any, and where all are null every one is a response."""
+    groups = rows.where(F.col("bytes") >= spec.least_bytes).groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+    groups = scratch.write(groups.where("n > 1 and refers_to is not null"), "groups")
+    again = join_counted(rows.where(F.col("bytes") >= spec.least_bytes).select("page_id", "sha"), groups, ["sha"]).where("not (page_id <=> refers_to)")
+    return scratch.write(again.distinct(), "revisits")
+
+
+def archive(pages: DataFrame, folder: str, scratch: Scratch, spec: WarcSpec = WarcSpec()) -> DataFrame:  # noqa: B008
     """page_id, file, offset, length of the record of every row of pages (page_id, url, html).
 
-    Of equal payloads of at least least_bytes bytes the one with the largest page_id becomes the response, the others revisit it.
-    Only digests are shuffled to find them; then revisits alone are joined back, by page_id, so a payload with many copies
-    burdens no single task. Null html is an empty payload, a null url is left out.
+    Which rows are revisits is found from digests (see revisits) and joined back by page_id and digest, so a page_id with several
+    payloads keeps each of them. That table is broadcast if small(), and then no html is shuffled; else the join shuffles the rows.
+    Null html is an empty payload, a null url is left out.
     """
 
     def run(batches):
@@ -151,9 +168,10 @@ def archive(pages: DataFrame, folder: str, spec: WarcSpec = WarcSpec()) -> DataF
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.octet_length(html).cast("long").alias("bytes"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    groups = rows.where(F.col("bytes") >= spec.least_bytes).groupBy("sha", "bytes").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "response")
-    again = rows.select("page_id", "sha", "bytes").where(F.col("bytes") >= spec.least_bytes).join(groups, "sha").where("page_id <> response").select("page_id", F.col("response").alias("refers_to")).distinct()
-    dealt = rows.join(again, "page_id", "left").select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "bytes", "sha", "refers_to")
+    digests = scratch.write(rows.select("page_id", "sha", "bytes"), "digests")
+    again = small_broadcast(revisits(digests, spec, scratch).select(F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "refers_to"))
+    joined = rows.join(again, (rows.sha == again.again_sha) & rows.page_id.eqNullSafe(again.again_id), "left")
+    dealt = joined.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "bytes", "sha", "refers_to")
     return dealt.mapInArrow(run, "page_id long, file string, offset long, length long")
 
 
@@ -193,10 +211,11 @@ def read_back(places: DataFrame, folder: str) -> DataFrame:
 
 def archived(pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFrame:  # noqa: B008
     """pages written to archives in the shared folder and read back: see archive() and read_back(). An empty table gives an empty
-    result. Of repeated rows with one page_id and payload each has a record of the same kind. Other columns are not read."""
+    result. Of repeated rows with one page_id and payload each has a record of the same kind; of rows with one page_id and several
+    payloads each keeps its own. Rows without a page_id are archived like any other. Other columns are not read."""
     scratch = Scratch(pages.sparkSession, "warc")
     folder = scratch.path("archives")
-    places = scratch.write(archive(pages, folder, spec), "places")
+    places = scratch.write(archive(pages, folder, scratch, spec), "places")
     return read_back(places, folder)
 
 

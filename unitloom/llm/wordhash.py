@@ -110,12 +110,13 @@ class RunHash:
 
 
 def strings(column) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of an Arrow string column; nulls become empty texts."""
+    """Bytes and offsets of an Arrow column of strings or bytes; nulls become empty texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
-    column = column.cast(pa.large_string())
+        column = pc.fill_null(column, b"" if pa.types.is_large_binary(column.type) else "")
+    if not pa.types.is_large_binary(column.type):
+        column = column.cast(pa.large_string())
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, at, data = column.buffers()
