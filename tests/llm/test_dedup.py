@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 
 from tests.conftest import SF
+from unitloom.llm import common, minhash, relative_lz
+from unitloom.llm.common import Scratch
 from unitloom.llm.components import components
 from unitloom.llm.minhash import MinHashSpec, agreement, minima, near_duplicates, pack, shingle_sets
 from unitloom.llm.relative_lz import cut_spans, factors, merged, sliding_min
@@ -118,14 +120,33 @@ def test_near_duplicates_match_brute_force(spark, n):
 
 
 def test_near_duplicates_in_blocks_smaller_than_a_bucket(spark, monkeypatch):
-    from unitloom.llm import minhash
-
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "SPOKES", 4)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
     rows = near_copies(seed=2, groups=2, copies=40)
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), MinHashSpec(shingle=2)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 2)
 
 
+def test_the_largest_component_of_a_bucket_is_not_copied(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rows = [(1, i, 0 if i < 40 else i, 0, 40, 3) for i in range(43)]
+    met = minhash.meetings(spark.createDataFrame(rows, "bucket long, doc_id long, component long, top long, n_top long, n_rest long")).collect()
+    assert sum(r.doc_id < 40 for r in met) == 40  # three strays fill one block, which meets each block of the others
+    pairs = {(min(x.doc_id, y.doc_id), max(x.doc_id, y.doc_id)) for x in met for y in met if (x.lo, x.hi) == (y.lo, y.hi) and x.own == x.lo and y.own == x.hi and x.component != y.component}
+    assert pairs == {(i, j) for j in (40, 41, 42) for i in range(j)}
+
+
+def test_a_join_on_hot_keys_gives_what_a_plain_one_gives(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    scratch = Scratch(spark, "test-join")
+    rows = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(300)] + [(None, -1)], "k long, v long")
+    table = scratch.write(rows.where("k < 50").groupBy("k").count().withColumnRenamed("count", "n").withColumn("w", common.F.col("k") * 2), "table")
+    for how in ("inner", "left"):
+        got = sorted(map(str, common.join_counted(rows, table, ["k"], how).select("k", "v", "w").collect()))
+        assert got == sorted(map(str, rows.join(table.drop("n"), "k", how).select("k", "v", "w").collect()))
+
+
 def test_near_duplicates_edges(edges, empty):
     got = {r.doc_id: r for r in near_duplicates(edges, MinHashSpec(shingle=2)).collect()}
     assert sorted(got) == list(range(1, 10))
@@ -136,11 +157,15 @@ def test_near_duplicates_edges(edges, empty):
 
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
-    got = {r.node: r.component for r in components(edges).collect()}
+    got = {r.node: r.component for r in components(edges, Scratch(spark, "test-chain"), "out").collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
 
 
-def test_cut_spans_match_brute_force(spark):
+@pytest.mark.parametrize(("shard", "longest", "least"), [(4096, 1024, 50), (2, 16, 50), (1, 1024, 5)])
+def test_cut_spans_match_brute_force(spark, monkeypatch, shard, longest, least):
+    monkeypatch.setattr(relative_lz, "SHARD_BLOCKS", shard)
+    monkeypatch.setattr(relative_lz, "LONGEST", longest)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     rng = random.Random(3)
@@ -148,10 +173,43 @@ def test_cut_spans_match_brute_force(spark):
     for k in range(60):  # passages of 45 to 120 words at shifting places, so that copies end inside blocks
         a, size = rng.randrange(280), rng.choice([45, 49, 50, 51, 60, 90, 120])
         rows.append((20_000 + k, " ".join([f"u{k}_{x}" for x in range(rng.randrange(30))] + base[a : a + size] + [f"t{k}"])))
-    got = cut_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_cut(rows)
+    got = cut_spans(spark.createDataFrame(rows, "doc_id long, text string"), least=least).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_cut(rows, least)
     for r in got:
-        assert r.n_removed == sum(s.hi - s.lo for s in r.cut_spans) and all(s.hi - s.lo >= 50 for s in r.cut_spans)
+        assert r.n_removed == sum(s.hi - s.lo for s in r.cut_spans) and all(s.hi - s.lo >= least for s in r.cut_spans)
+
+
+def longest_match(text, i, references):
+    return max((next((k for k in range(len(text) - i) if j + k == len(r) or text[i + k] != r[j + k]), len(text) - i) for r in references for j in range(len(r))), default=0)
+
+
+def test_the_parse_is_greedy_and_its_factors_are_the_longest():
+    rng = random.Random(7)
+    texts = [[f"w{rng.randrange(9)}" for _ in range(60)]]
+    for _ in range(5):
+        a = rng.randrange(40)
+        texts.append(["x"] * rng.randrange(4) + texts[0][a : a + rng.randrange(8, 20)] + ["y"])
+    (block, begin, end), _, _ = relative_lz.parse(np.zeros(6, int), np.arange(6), [" ".join(t).encode() + b" " for t in texts], 6)
+    assert set(block) == {1, 2, 3, 4, 5}
+    for b, i, j in zip(block, begin, end, strict=True):
+        assert j - i >= 6 and any(texts[b][i:j] == r[k : k + j - i] for r in texts[:b] for k in range(len(r)))
+    first = {b: (i, j) for b, i, j in reversed(list(zip(block, begin, end, strict=True)))}
+    for b, (i, j) in first.items():
+        assert j - i == longest_match(texts[b], i, texts[:1]) and all(longest_match(texts[b], k, texts[:b]) < 6 for k in range(i))
+
+
+def test_words_are_compared_not_only_their_hashes(monkeypatch):
+    monkeypatch.setattr(relative_lz.RunHash, "run", lambda self, start, length: np.zeros(len(start), np.uint64))
+    texts = [b"a b c d ", b"e f g h ", b"x e f g ", b"e f g h i "]
+    (block, begin, end), _, _ = relative_lz.parse(np.zeros(4, int), np.arange(4), texts, 3)
+    assert list(zip(block, begin, end, strict=True)) == [(2, 1, 4), (3, 0, 4)]
+
+
+def test_rows_of_one_doc_id_are_cut_each_by_its_own_spans(spark):
+    passage, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "pq")
+    rows = [(1, passage), (2, f"{passage} end"), (2, f"{other} {other}"), (None, passage)]
+    got = sorted((r.doc_id or 0, r.text) for r in cut_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(1, passage), (2, "end"), (2, f"{other} {other}"), (0, passage)])
 
 
 def test_cut_spans_edges(edges, empty):
@@ -170,8 +228,6 @@ def test_repeats_of_a_window_within_a_later_document_all_go(spark):
 
 
 def test_factors_are_found_under_ties_of_anchors(spark):
-    from unitloom.llm.common import Scratch
-
     rows = [(1, "a " * 200), (2, "a " * 120 + "b")]
     got = factors(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "test")).collect()
     assert {r.doc_id for r in got} == {2}

@@ -1,10 +1,14 @@
+import itertools
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF, same_rows
 from unitloom.llm import chat, quality, queries, url_filter
+from unitloom.llm.common import Scratch
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -18,6 +22,49 @@ def test_chi_square_points():
     assert quality.consistency(0.75) > 1.3
 
 
+def ordinary(rng, n, first=0, lang="en", source="s", sign=""):
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([2, 3, 4, 5, 6, 7, 8]))) for _ in range(500)]
+    return [(first + i, " ".join(rng.choice(words) + sign * (rng.random() < 0.1) for _ in range(rng.randrange(25, 200))), lang, source) for i in range(n)]
+
+
+def test_outliers_match_their_sql_where_strata_are_large(spark):
+    """Strata of hundreds of rows and of one, a source of lines and signs of its own, and names that would run together if joined."""
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(9)
+    rows = ordinary(rng, 300) + ordinary(rng, 200, 1000, "en", "t", "#") + ordinary(rng, 150, 2000, "fr", "s") + ordinary(rng, 60, 3000, "a:b", "c") + ordinary(rng, 60, 4000, "a", "b:c", "$$")
+    rows += ordinary(rng, 40, 5000, None, "s") + ordinary(rng, 40, 6000, "", "s", "%") + ordinary(rng, 1, 7000, "xx", "y") + ordinary(rng, 3, 7100, "yy", None)
+    rows += [(8000 + i, t.replace(" ", " ###"), *rest) for i, (_, t, *rest) in enumerate(ordinary(rng, 12))]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "lang", "source"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    same_rows(quality.robust_outliers(df).drop("distance2", "row1", "row2"), con, quality.oracle())
+    got = {r.doc_id: r.kept for r in quality.robust_outliers(df).collect()}
+    assert not any(got[8000 + i] for i in range(12)) and sum(got.values()) > 0.97 * (len(rows) - 12)
+
+
+def mcd_by_search(x, h):
+    """The least determinant of the covariance of h rows, over all subsets."""
+    return min(np.linalg.det(np.cov(x[list(c)].T, bias=True)) for c in itertools.combinations(range(len(x)), h))
+
+
+def test_the_determinant_is_near_the_minimum_over_all_subsets(spark):
+    rng = np.random.default_rng(3)
+    for trial in range(3):
+        x = np.round(rng.normal(size=(14, 4)) * [900, 700, 800, 600] + 3000).astype(int)
+        x[:3] += 9000  # three outliers together
+        cells = spark.createDataFrame([("=en", "=s", *map(int, r), 1) for r in x], "lang string, source string, q1 long, q2 long, q3 long, q4 long, n long")
+        scratch = Scratch(spark, f"test-mcd{trial}")
+        prior = cells.select("lang", "source").distinct().select("lang", "source", F.lit(1.0).alias("own"), *[F.lit(0.0).alias(f"p{n}") for n in quality.PRIOR])
+        spec = quality.McdSpec(part=11 / 14, floors=(0.0,) * 4, steps=20)
+        quality.determinants(scratch.write(cells, "cells"), prior, spec, scratch, 0)
+        least = spark.read.parquet(scratch.path("least0")).first()
+        found = (least.det**2) / quality.consistency(11 / 14) ** 4
+        # the last bin counts in proportion, so the subset is not one of whole rows
+        assert found < 1.5 * mcd_by_search(x, 11) and abs(least.m1 - x[3:, 0].mean()) < 900
+
+
 def brute_repeats(text):
     words = (text or "").split()
     grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
@@ -45,8 +92,6 @@ def test_quality_edges(edges, empty):
 
 
 def test_outliers_are_rejected_and_clean_rows_kept(spark):
-    import random
-
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([2, 3, 4, 5, 6, 7, 8]))) for _ in range(500)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(25, 400))), "en", "s") for i in range(300)]
@@ -88,15 +133,53 @@ def test_quotations(spark):
         (1, 5, "f", None), (None, 0, "g", "> Hello there"), (1, 6, "h", ""), (1, 7, "i", "> Different words\n> Yes, of course\n> Yes"),
     ]
     got = linked(spark, rows)
-    assert got[1, 2].reply_to == 0 and got[1, 2].text == "My answer" and got[1, 2].n_linked == 1
+    assert got[1, 2].reply_to == 0 and got[1, 2].text == "My answer" and got[1, 2].n_linked == 1  # a passage quoted in part, by its line
     assert (got[1, 3].reply_to, got[1, 3].quote_depth, got[1, 3].thread_root, got[1, 3].reply_depth, got[1, 3].text) == (2, 2, 0, 2, "Yes")
-    assert got[1, 4].reply_to is None and got[1, 4].n_quoted == 1 and got[1, 4].text == "alone"
+    assert got[1, 4].reply_to is None and got[1, 4].n_quoted == 1 and got[1, 4].n_linked == 0 and got[1, 4].text == "alone"
     assert got[2, 1].reply_to is None  # quotations link within a conversation only
-    assert got[1, 5].text is None and got[1, 6].text == "" and got[None, 0].reply_to is None
+    assert got[1, 5].text is None and got[1, 6].text == "" and got[None, 0].reply_to is None and got[None, 0].place is None
     assert got[1, 7].reply_to == 1  # most characters come from there
+    assert [got[1, t].place for t in (0, 2, 3)] == [0, 1, 2]
     assert linked(spark, []) == {}
 
 
+def test_a_passage_is_linked_whole_before_its_lines_are(spark):
+    rows = [(1, 0, "a", "first line\nok"), (1, 1, "b", "ok"), (1, 2, "c", "> first line\n> ok\nfine"), (1, 3, "d", "> first\n> line ok\nwrapped anew"), (1, 4, "e", "> OK\nyes")]
+    got = linked(spark, rows)
+    assert (got[1, 2].reply_to, got[1, 2].n_quoted, got[1, 2].n_linked) == (0, 1, 1)
+    assert got[1, 3].reply_to == 0 and got[1, 4].reply_to == 1
+
+
+def test_passages(spark):
+    text = "one\ntwo\n\nthree\nBob wrote:\n> a\n> > b\n> c\n>\n> d"
+    got = spark.createDataFrame([(text,)], "t string").select(chat.passages(F.col("t")).alias("p")).first().p
+    assert [(p.depth, p.lines) for p in got] == [(0, ["one", "two"]), (0, ["three"]), (1, ["a"]), (2, ["b"]), (1, ["c"]), (1, ["d"])]
+    long = "x" * 5000 + " wrote:"
+    assert spark.createDataFrame([(long + "\n> q\nown",)], "t string").select(chat.unquoted(F.col("t")).alias("p")).first().p == "own"
+
+
+def test_conversations_in_reply_order(spark, monkeypatch):
+    """Windows of few turns and parts of few messages give what large ones give."""
+    rows = [(1, t, "r", f"message {t}" if t % 5 == 0 else f"> message {t - t % 5}\n\nmessage {t}") for t in range(0, 60)] + [(2, 7, "r", "hello"), (2, 9, "r", "> hello\nyes")]
+    want = linked(spark, rows)
+    monkeypatch.setattr(chat, "STRETCH", 4)
+    monkeypatch.setattr(chat, "PART", 3)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.link_replies(df)
+    got = {(r.conv_id, r.turn): r for r in out.collect()}
+    assert got == want and got[1, 13].reply_to == 10 and got[1, 13].place == 3
+    threads = sorted(chat.conversations(out).collect(), key=lambda r: (r.conv_id, r.thread_root, r.part))
+    assert len(threads) == 12 * 2 + 1 and [m.turn for m in threads[0].messages] == [0, 1, 2] and [m.turn for m in threads[1].messages] == [3, 4]
+    for r in threads:
+        assert all(m.reply_to is None or m.reply_to < m.turn for m in r.messages) and not any(">" in m.text for m in r.messages)
+
+
+def test_a_chain_of_replies_reaches_its_root(spark):
+    rows = [(1, 0, "a", "m0")] + [(1, t, "a", f"> m{t - 1}\nm{t}") for t in range(1, 40)]
+    got = linked(spark, rows)
+    assert all(got[1, t].thread_root == 0 and got[1, t].reply_depth == t == got[1, t].place for t in range(40))
+
+
 def test_repeated_messages_share_links(spark):
     rows = [(1, 0, "a", "line"), (1, 1, "b", "> line\nx"), (1, 1, "b", "> line\nx")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -105,6 +188,6 @@ def test_repeated_messages_share_links(spark):
 
 
 def test_native_operators_run_no_python(spark):
-    for df in (quality.statistics(spark.read.parquet(f"{SF}/documents.parquet")), chat.quotations(spark.read.parquet(f"{SF}/conversations.parquet"))):
+    for df in (quality.statistics(spark.read.parquet(f"{SF}/documents.parquet")), quality.robust_outliers(spark.read.parquet(f"{SF}/documents.parquet")), chat.link_replies(spark.read.parquet(f"{SF}/conversations.parquet"))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

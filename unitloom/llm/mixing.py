@@ -33,7 +33,7 @@ class MixSpec:
     they have in proportion, scaled to the rest, and categories without tokens don't count. tempered: for an axis, the power that
     turns its token shares into target shares (1 keeps them, 0 makes them equal). keep: share of all tokens to draw. A category's
     target is at most what it has; the others take up the rest. rounds, close: end of the fitting, by rounds or by largest relative
-    miss of a marginal. topics: word classes. seed: of the draw."""
+    miss of a marginal; it also ends when ten rounds have not lowered the miss by a hundredth. topics: word classes. seed: of the draw."""
 
     vocabulary: str
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
@@ -209,7 +209,7 @@ def fitted(cells: DataFrame, spec: MixSpec, scratch: Scratch) -> DataFrame:
 
         return run
 
-    miss = 0.0
+    misses: list[float] = []
     for k in range(spec.rounds):
         pair = np.outer(*factors).ravel()
         found = grouped.select("goal", "cells").mapInArrow(totals(pair), "at int, capped double, free double").groupBy("at").agg(F.sum("capped").alias("capped"), F.sum("free").alias("free"))
@@ -218,12 +218,13 @@ def fitted(cells: DataFrame, spec: MixSpec, scratch: Scratch) -> DataFrame:
             both[(slice(None), *divmod(r.at, shape[1]))] = r.capped, r.free
         have = [both.sum(0).sum(1 - axis) for axis in (0, 1)]
         miss = max(float(np.max(np.abs(h / np.where(g > 0, g, 1) - 1), where=g > 0, initial=0)) for h, g in zip(have, goals, strict=True))
-        if miss < spec.close or k == spec.rounds - 1:
+        misses.append(miss)
+        if miss < spec.close or k == spec.rounds - 1 or (k >= 10 and min(misses[-10:]) > 0.99 * min(misses[:-10])):
             break
         for f, by in zip(factors, rake_pairs(both[0], both[1], goals), strict=True):
             f *= by
     if miss >= spec.close:
-        warnings.warn(f"the marginals are missed by up to {miss:.2g} after {spec.rounds} rounds; the column marginal_miss says so", stacklevel=2)
+        warnings.warn(f"the marginals are missed by up to {miss:.2g} after {len(misses)} rounds; the column marginal_miss says so", stacklevel=2)
 
     def final(batches):
         for batch in batches:
