@@ -56,10 +56,9 @@ def test_the_determinant_is_near_the_minimum_over_all_subsets(spark):
         x[:3] += 9000  # three outliers together
         cells = spark.createDataFrame([("=en", "=s", *map(int, r), 1) for r in x], "lang string, source string, q1 long, q2 long, q3 long, q4 long, n long")
         scratch = Scratch(spark, f"test-mcd{trial}")
-        prior = cells.select("lang", "source").distinct().select("lang", "source", F.lit(1.0).alias("own"), *[F.lit(0.0).alias(f"p{n}") for n in quality.PRIOR])
         spec = quality.McdSpec(part=11 / 14, floors=(0.0,) * 4, steps=20)
-        quality.determinants(scratch.write(cells, "cells"), prior, spec, scratch, 0)
-        least = spark.read.parquet(scratch.path("least0")).first()
+        quality.determinants(scratch.write(cells, "cells"), spec, scratch)
+        least = spark.read.parquet(scratch.path("least")).first()
         found = (least.det**2) / quality.consistency(11 / 14) ** 4
         # the last bin counts in proportion, so the subset is not one of whole rows
         assert found < 1.5 * mcd_by_search(x, 11) and abs(least.m1 - x[3:, 0].mean()) < 900

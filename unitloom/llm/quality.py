@@ -1,8 +1,8 @@
 """Robust multivariate outliers among documents: minimum covariance determinant per language and source, in SQL functions only.
 
-Estimates are nested: one of all documents, one of each language shrunk towards it, and one of each language and source shrunk
-towards its language's. Each is found from several starts by concentration steps until its determinant no longer falls, and the
-start with the least determinant counts.
+Estimates are nested: one of all documents, of each language, and of each language and source. Each is found from several starts by
+concentration steps until its determinant no longer falls, and the start with the least determinant counts. Then a language's is
+shrunk towards that of all, and a source's towards its language's.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from .common import WORD, Scratch, small_broadcast
 
 WINDOW = 8
 P = 4
-#: Vector components are kept in units of 1 / SCALE, so that sums are of whole numbers and don't hang on their order.
-SCALE = 4096
+#: Vector components are kept in units of 1 / SCALE, an eighth of the least floor: sums are of whole numbers and don't hang on their
+#: order, and a stratum of any size has few different vectors.
+SCALE = 256
 #: Steps of a histogram of log squared distances, to one unit of the logarithm.
 BINS = 32
 #: Key of an estimate over all values of a column; values of the tables are '' (null) or begin with '='.
@@ -29,7 +30,7 @@ STARTS = ("box", "mean", "median")
 @dataclass(frozen=True)
 class McdSpec:
     """part: share of a stratum's rows that the determinant is minimised over. steps: concentration steps at most (they end when no
-    determinant falls). shrink: rows that the estimate one level up counts for: a stratum of n rows has its own estimate at weight
+    determinant falls). shrink: rows that the estimate one level up counts for: of a stratum of n rows its own estimate has the weight
     n / (n + shrink). tail: chance that a clean Gaussian document lies beyond the cutoff: one in a hundred million, so that even a
     corpus of billions loses a few dozen. smooth: words of ordinary text added to each text, so that short ones scatter less.
     floors: standard deviations added to each component (log word length; square roots of the shares of symbols, repeated lines
@@ -167,15 +168,17 @@ def factored() -> list[tuple[str, str]]:
 
 
 def estimate(factor: float, spec: McdSpec) -> list[tuple[str, str]]:
-    """Centre, covariance (times factor, plus the floors' squares), both shrunk towards the prior pm, pc by weight own, and the
-    Cholesky factor, from sums over h rows."""
-    mix = lambda a, b: f"own * ({a}) + (1 - own) * {b}"
-    out = [(f"r{i}", f"cast(s{i} as double) / h") for i in range(1, P + 1)]
-    out += [(f"m{i}", mix(f"r{i}", f"pm{i}")) for i in range(1, P + 1)]
-    out += [(f"c{i}{j}", mix(f"{number(factor)} * (cast(s{i}{j} as double) / h - r{i} * r{j})" + (f" + {number((spec.floors[i - 1] * SCALE) ** 2)}" if i == j else ""), f"pc{i}{j}")) for i, j in PAIRS]
+    """Centre, covariance (times factor, plus the floors' squares) and its Cholesky factor, from sums over h rows."""
+    out = [(f"m{i}", f"cast(s{i} as double) / h") for i in range(1, P + 1)]
+    out += [(f"c{i}{j}", f"{number(factor)} * (cast(s{i}{j} as double) / h - m{i} * m{j})" + (f" + {number((spec.floors[i - 1] * SCALE) ** 2)}" if i == j else "")) for i, j in PAIRS]
     return [*out, *factored()]
 
 
+def shrunk() -> list[tuple[str, str]]:
+    """Centre and covariance at the weight own, the rest being those (pm, pc) of the estimate one level up; and the Cholesky factor."""
+    return [*((n, f"own * {n} + (1 - own) * p{n}") for n in PRIOR), *factored()]
+
+
 def medians(spec: McdSpec, first: int) -> list[tuple[str, str]]:
     """A start from medians and quartile ranges, without correlation. p: five quantiles each; first: index of an array's first."""
     out = [(f"m{i}", f"cast(p{i}[{first + 2}] as double)") for i in range(1, P + 1)]
@@ -223,32 +226,39 @@ def edge() -> int:
     return math.floor(math.log(chi2_point(0.025, P) + 0.0001) * BINS)
 
 
-def determinants(cells: DataFrame, prior: DataFrame, spec: McdSpec, scratch: Scratch, level: int) -> DataFrame:
-    """lang, source and the estimate (NAMES) of each stratum of cells (lang, source, q, n). prior: pm, pc and own of each."""
-    name = lambda what: f"{what}{level}"
-    prior = small_broadcast(scratch.write(prior, name("prior")))
-    quantiles = scratch.write(aggregated(cells, KEYS, [(f"p{i}", f"percentile(q{i}, array({', '.join(map(str, QUANTILES))}), n)") for i in range(1, P + 1)]), name("quantiles"))
+def determinants(cells: DataFrame, spec: McdSpec, scratch: Scratch) -> DataFrame:
+    """lang, source, n and the estimate (NAMES) of each stratum of cells (lang, source, q, n), not yet shrunk."""
+    quantiles = scratch.write(aggregated(cells, KEYS, [("rows", "sum(n)"), *((f"p{i}", f"percentile(q{i}, array({', '.join(map(str, QUANTILES))}), n)") for i in range(1, P + 1))]), "quantiles")
     median = chain(quantiles, medians(spec, 0)).withColumn("start", F.lit("median"))
     boxed = cells.join(small_broadcast(quantiles), KEYS).where(in_box(0)).select(*cells.columns, F.lit("box").alias("start"))
     moments = aggregated(cells.withColumn("start", F.lit("mean")).unionByName(boxed), [*KEYS, "start"], sums()).withColumn("h", F.col("n").cast("double"))
-    own = chain(moments.join(prior, KEYS), estimate(1.0, spec))
-    state = scratch.write(median.select(*KEYS, "start", *NAMES).unionByName(own.select(*KEYS, "start", *NAMES)).withColumn("falls", F.lit(True)), name("state0_"))
+    first = median.select(*KEYS, "start", *NAMES).unionByName(chain(moments, estimate(1.0, spec)).select(*KEYS, "start", *NAMES))
+    state = scratch.write(first.withColumn("falls", F.lit(True)), "state0")
     for step in range(spec.steps):
         near = chain(cells.join(small_broadcast(state.select(*KEYS, "start", *NAMES)), KEYS), distance())
         bins = chain(aggregated(near, [*KEYS, "start", "bin"], sums()), running(spec))
-        total = aggregated(bins, [*KEYS, "start"], subset())
-        found = chain(total.join(prior, KEYS), estimate(consistency(spec.part), spec)).select(*KEYS, "start", *[F.col(n).alias(f"_{n}") for n in NAMES])
+        found = chain(aggregated(bins, [*KEYS, "start"], subset()), estimate(consistency(spec.part), spec)).select(*KEYS, "start", *[F.col(n).alias(f"_{n}") for n in NAMES])
         falls = F.lit(True) if step == 0 else F.col("_det") < F.col("det") * (1 - 1e-9)
         both = state.drop("falls").join(found, [*KEYS, "start"]).withColumn("falls", falls)
-        state = scratch.write(both.select(*KEYS, "start", *[F.when(F.col("falls"), F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in NAMES], "falls"), f"state{step + 1}_{level}")
+        state = scratch.write(both.select(*KEYS, "start", *[F.when(F.col("falls"), F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in NAMES], "falls"), f"state{step + 1}")
         if state.where("falls").isEmpty():
             break
-    least = state.groupBy(*KEYS).agg(F.min_by(F.struct(*NAMES), F.struct("det", "start")).alias("e")).select(*KEYS, "e.*")
-    least = scratch.write(least, name("least"))
+    least = scratch.write(state.groupBy(*KEYS).agg(F.min_by(F.struct(*NAMES), F.struct("det", "start")).alias("e")).select(*KEYS, "e.*"), "least")
     inside = aggregated(chain(cells.join(small_broadcast(least), KEYS), distance()).where(f"bin <= {edge()}"), KEYS, sums()).withColumn("h", F.col("n").cast("double"))
-    final = chain(inside.join(prior, KEYS), estimate(consistency(0.975), spec)).select(*KEYS, *[F.col(n).alias(f"_{n}") for n in NAMES])
+    final = chain(inside, estimate(consistency(0.975), spec)).select(*KEYS, *[F.col(n).alias(f"_{n}") for n in NAMES])
     kept = [F.when(F.col("_det").isNotNull(), F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in NAMES]
-    return scratch.write(least.join(final, KEYS, "left").select(*KEYS, *kept), name("estimate"))
+    return scratch.write(least.join(final, KEYS, "left").join(quantiles.select(*KEYS, F.col("rows").alias("n")), KEYS).select(*KEYS, "n", *kept), "estimates")
+
+
+def nested(found: DataFrame, spec: McdSpec, scratch: Scratch) -> DataFrame:
+    """lang, source and the estimate of each language and source, shrunk towards its language's, which is shrunk towards that of all."""
+    above = found.where(f"lang = '{ANY}'")
+    for level in (1, 2):
+        own = found.where(f"lang <> '{ANY}' and source {'=' if level == 1 else '<>'} '{ANY}'")
+        up = above.select(F.col("lang").alias("_lang"), *[F.col(n).alias(f"p{n}") for n in PRIOR])
+        both = own.withColumn("_lang", F.lit(ANY) if level == 1 else F.col("lang")).join(F.broadcast(up) if level == 1 else up, "_lang")
+        above = scratch.write(chain(both.withColumn("own", F.col("n") / (F.col("n") + F.lit(spec.shrink))), shrunk()).select(*KEYS, *NAMES), f"shrunk{level}")
+    return above
 
 
 def robust_outliers(docs: DataFrame, spec: McdSpec = McdSpec(), text: str = "text") -> DataFrame:  # noqa: B008
@@ -270,20 +280,9 @@ def robust_outliers(docs: DataFrame, spec: McdSpec = McdSpec(), text: str = "tex
     base = scratch.write(chain(statistics(docs, text), [("base_failed", BASE_FAILED)]), "base")
     rows = chain(base.where("not base_failed"), vector(spec))
     cells = scratch.write(rows.groupBy(*KEYS, *Q).agg(F.count(F.lit(1)).alias("n")), "cells")
-    above = None
-    for level, known in enumerate(((), ("lang",), ("lang", "source"))):
-        keys = [F.col(k) if k in known else F.lit(ANY).alias(k) for k in KEYS]
-        own = cells.select(*keys, *Q, "n").groupBy(*KEYS, *Q).agg(F.sum("n").alias("n"))
-        own = scratch.write(own, f"cells{level}") if level < 2 else cells
-        counts = own.groupBy(*KEYS).agg(F.sum("n").alias("n"))
-        if above is None:
-            prior = counts.select(*KEYS, F.lit(1.0).alias("own"), *[F.lit(0.0).alias(f"p{n}") for n in PRIOR])
-        else:
-            parent = [F.col(k) if k in known[:-1] else F.lit(ANY).alias(k) for k in KEYS]
-            up = above.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[F.col(n).alias(f"p{n}") for n in PRIOR])
-            prior = counts.select(*KEYS, "n", *[p.alias(f"_{k}") for p, k in zip(parent, KEYS, strict=True)]).join(up, ["_lang", "_source"])
-            prior = prior.select(*KEYS, (F.col("n") / (F.col("n") + F.lit(spec.shrink))).alias("own"), *[f"p{n}" for n in PRIOR])
-        above = determinants(own, prior, spec, scratch, level)
+    levels = [cells.select(*[F.col(k) if k in known else F.lit(ANY).alias(k) for k in KEYS], *Q, "n") for known in ((), ("lang",), KEYS)]
+    cells = scratch.write(levels[0].unionByName(levels[1]).unionByName(levels[2]).groupBy(*KEYS, *Q).agg(F.sum("n").alias("n")), "levels")
+    above = nested(determinants(cells, spec, scratch), spec, scratch)
     cutoff = chi2_point(spec.tail, P)
     scored = chain(chain(base, vector(spec)).join(small_broadcast(above), KEYS, "left"), distance())
     return scored.select(
@@ -312,34 +311,31 @@ def oracle(spec: McdSpec = McdSpec()) -> str:  # noqa: B008
         f"""base as materialized (select l.doc_id, lang, source, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(len(regexp_extract_all(body, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, len(w) < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * len(w) as base_failed from lines l left join cover c on l.doc_id = c.doc_id)""",
         f"""vectors as materialized (select lang, source, {', '.join(Q)} from {extended('(select * from base where not base_failed)', vector(spec))})""",
     ]
-    for level, (lang, source) in enumerate(((f"'{ANY}'", f"'{ANY}'"), ("lang", f"'{ANY}'"), ("lang", "source"))):
-        with_.append(f"rows{level} as materialized (select {lang} as lang, {source} as source, {', '.join(Q)} from vectors)")
-        with_.append(f"cells{level} as materialized (select lang, source, {', '.join(Q)}, count(*) as n from rows{level} group by all)")
-        if level == 0:
-            with_.append(f"prior0 as materialized (select distinct lang, source, {number(1)} as own, {', '.join(f'{number(0)} as p{n}' for n in PRIOR)} from rows0)")
-        else:
-            up = "true" if level == 1 else "c.lang = e.lang"
-            with_.append(f"prior{level} as materialized (select c.lang, c.source, c.n / (c.n + {number(spec.shrink)}) as own, {', '.join(f'e.{n} as p{n}' for n in PRIOR)} from (select lang, source, cast(sum(n) as double) as n from cells{level} group by 1, 2) c join estimate{level - 1} e on {up})")
-        quantiles = ", ".join(f"quantile_cont(q{i}, [{', '.join(map(str, QUANTILES))}]) as p{i}" for i in range(1, P + 1))
-        with_.append(f"quantiles{level} as materialized (select lang, source, {quantiles} from rows{level} group by 1, 2)")
-        boxed = f"(select c.*, 'box' as start from cells{level} c join quantiles{level} p on c.lang = p.lang and c.source = p.source where {in_box(1)})"
-        moments = f"(select lang, source, start, cast(sum(n) as double) as h, {columns(sums())} from (select *, 'mean' as start from cells{level} union all select * from {boxed}) group by 1, 2, 3)"
-        joined = lambda t: f"(select t.*, own, {', '.join(f'p{n}' for n in PRIOR)} from {t} t join prior{level} p on t.lang = p.lang and t.source = p.source)"  # noqa: B023, E731
-        with_.append(
-            f"state{level}_0 as materialized (select lang, source, 'median' as start, {names} from {extended(f'quantiles{level}', medians(spec, 1))} union all select lang, source, start, {names} from {extended(joined(moments), estimate(1.0, spec))})"
-        )
-        for step in range(spec.steps):
-            near = lambda t, more="": f"(select c.*{more}, {', '.join(f's.{n}' for n in NAMES)} from cells{level} c join {t} s on c.lang = s.lang and c.source = s.source)"  # noqa: B023, E731
-            bins = f"(select lang, source, start, bin, {columns(sums())} from {extended(near(f'state{level}_{step}', ', s.start'), distance())} group by 1, 2, 3, 4)"
-            total = f"(select lang, source, start, {columns(subset())} from {extended(bins, running(spec))} group by 1, 2, 3)"
-            falls = "true" if step == 0 else f"f.det < s.det * (1 - {number(1e-9)})"
-            chosen = ", ".join(f"case when {falls} then f.{n} else s.{n} end as {n}" for n in NAMES)
-            with_.append(f"state{level}_{step + 1} as materialized (select s.lang, s.source, s.start, {chosen} from state{level}_{step} s join {extended(joined(total), estimate(consistency(spec.part), spec))} f on s.lang = f.lang and s.source = f.source and s.start = f.start)")
-        with_.append(f"least{level} as materialized (select lang, source, {names} from (select *, row_number() over (partition by lang, source order by det, start) as place from state{level}_{spec.steps}) where place = 1)")
-        inside = f"(select lang, source, cast(sum(n) as double) as h, {columns(sums())} from (select * from {extended(near(f'least{level}'), distance())} where bin <= {edge()}) group by 1, 2)"
-        kept = ", ".join(f"case when f.det is not null then f.{n} else e.{n} end as {n}" for n in NAMES)
-        with_.append(f"estimate{level} as materialized (select e.lang, e.source, {kept} from least{level} e left join {extended(joined(inside), estimate(consistency(0.975), spec))} f on e.lang = f.lang and e.source = f.source)")
-    scored = f"(select b.*, {', '.join(f'e.{n}' for n in NAMES)} from {extended('base', vector(spec))} b left join estimate2 e on b.lang = e.lang and b.source = e.source)"
+    with_.append(f"rows_ as materialized (select '{ANY}' as lang, '{ANY}' as source, {', '.join(Q)} from vectors union all select lang, '{ANY}', {', '.join(Q)} from vectors union all select lang, source, {', '.join(Q)} from vectors)")
+    with_.append(f"cells as materialized (select lang, source, {', '.join(Q)}, count(*) as n from rows_ group by all)")
+    quantiles = ", ".join(f"quantile_cont(q{i}, [{', '.join(map(str, QUANTILES))}]) as p{i}" for i in range(1, P + 1))
+    with_.append(f"quantiles as materialized (select lang, source, count(*) as rows, {quantiles} from rows_ group by 1, 2)")
+    boxed = f"(select c.*, 'box' as start from cells c join quantiles p on c.lang = p.lang and c.source = p.source where {in_box(1)})"
+    moments = f"(select lang, source, start, cast(sum(n) as double) as h, {columns(sums())} from (select *, 'mean' as start from cells union all select * from {boxed}) group by 1, 2, 3)"
+    with_.append(f"state0 as materialized (select lang, source, 'median' as start, {names} from {extended('quantiles', medians(spec, 1))} union all select lang, source, start, {names} from {extended(moments, estimate(1.0, spec))})")
+    near = lambda t, more="": f"(select c.*{more}, {', '.join(f's.{n}' for n in NAMES)} from cells c join {t} s on c.lang = s.lang and c.source = s.source)"
+    for step in range(spec.steps):
+        bins = f"(select lang, source, start, bin, {columns(sums())} from {extended(near(f'state{step}', ', s.start'), distance())} group by 1, 2, 3, 4)"
+        total = f"(select lang, source, start, {columns(subset())} from {extended(bins, running(spec))} group by 1, 2, 3)"
+        falls = "true" if step == 0 else f"f.det < s.det * (1 - {number(1e-9)})"
+        chosen = ", ".join(f"case when {falls} then f.{n} else s.{n} end as {n}" for n in NAMES)
+        with_.append(f"state{step + 1} as materialized (select s.lang, s.source, s.start, {chosen} from state{step} s join {extended(total, estimate(consistency(spec.part), spec))} f on s.lang = f.lang and s.source = f.source and s.start = f.start)")
+    with_.append(f"least as materialized (select lang, source, {names} from (select *, row_number() over (partition by lang, source order by det, start) as place from state{spec.steps}) where place = 1)")
+    inside = f"(select lang, source, cast(sum(n) as double) as h, {columns(sums())} from (select * from {extended(near('least'), distance())} where bin <= {edge()}) group by 1, 2)"
+    kept = ", ".join(f"case when f.det is not null then f.{n} else e.{n} end as {n}" for n in NAMES)
+    with_.append(f"estimates as materialized (select e.lang, e.source, cast(q.rows as double) as n, {kept} from least e join quantiles q on e.lang = q.lang and e.source = q.source left join {extended(inside, estimate(consistency(0.975), spec))} f on e.lang = f.lang and e.source = f.source)")
+    with_.append(f"shrunk0 as (select * from estimates where lang = '{ANY}')")
+    for level, (own, up) in enumerate(((f"source = '{ANY}'", "true"), (f"source <> '{ANY}'", "e.lang = p.lang")), 1):
+        both = f"(select e.*, e.n / (e.n + {number(spec.shrink)}) as own, {', '.join(f'p.{n} as p{n}' for n in PRIOR)} from (select * from estimates where lang <> '{ANY}' and {own}) e join shrunk{level - 1} p on {up})"
+        for name, sql in shrunk():
+            both = f"(select *{f' replace ({sql} as {name})' if name in NAMES else f', {sql} as {name}'} from {both})"
+        with_.append(f"shrunk{level} as materialized (select lang, source, {names} from {both})")
+    scored = f"(select b.*, {', '.join(f'e.{n}' for n in NAMES)} from {extended('base', vector(spec))} b left join shrunk2 e on b.lang = e.lang and b.source = e.source)"
     return (
         "with " + ",\n".join(with_) + f"\nselect doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(d2, 0) <= {number(chi2_point(spec.tail, P))} as kept"
         f" from {extended(scored, distance())}"
