@@ -262,7 +262,7 @@ def check_packing(rows, lengths, spec):
 
 
 def encoded(texts):
-    encode = tokens.encoder(tuple(tokens.merge_ranks(RANKS).items())).encode_ordinary
+    encode = tokens.encoder(tokens.read_ranks(RANKS)).encode_ordinary
     return {k: len(encode(t or "")) for k, t in texts.items()}
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, bounded_batches, join_counted, quoted, small, with_arrow_columns
-from .tokens import with_tokens
+from .tokens import lengths, read_ranks
 from .wordhash import Words, chunks
 
 AXES = ("source", "lang", "topic")
@@ -45,29 +45,30 @@ class MixSpec:
     seed: int = 5
 
 
-def word_classes(docs: DataFrame, topics: int, text: str, name: str) -> DataFrame:
-    """docs with the number of words of each class in each whole text (a class: words, in lower case, whose hash leaves one
-    remainder)."""
+def counted(docs: DataFrame, spec: MixSpec, text: str) -> DataFrame:
+    """docs with _tokens and _counts: the tokens of each whole text, and its words by class (a class: words, in lower case, whose
+    hash leaves one remainder)."""
     bounded_batches(docs.sparkSession)
+    ranks, topics = read_ranks(spec.vocabulary), spec.topics
 
     def make(batch, names):
+        texts = batch.column(names.index(text))
         counts = []
-        for i, j, data, offsets in chunks(batch.column(names.index(text))):
+        for i, j, data, offsets in chunks(texts):
             words = Words(data, offsets, lower=True)
             own = np.repeat(np.arange(j - i), words.counts) * topics + (words.hashes() % np.uint64(topics)).astype(np.int64)
             counts.append(np.bincount(own, minlength=(j - i) * topics))
         flat = np.concatenate([*counts, np.empty(0, np.int64)])
-        return [pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, topics), pa.int32()), pa.array(flat, pa.int64()))]
+        return [lengths(texts, ranks), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, topics), pa.int32()), pa.array(flat, pa.int64()))]
 
-    return with_arrow_columns(docs, f"`{name}` array<long>", make)
+    return with_arrow_columns(docs, "_tokens long, _counts array<long>", make)
 
 
 def with_topic(docs: DataFrame, spec: MixSpec, scratch: Scratch, text: str) -> DataFrame:
     """docs (written) with _tokens, _lang, _source and _topic. The tables name no topic, so a document's topic is the word class that
     its whole text has more of, against all words of its language, by the greatest number of standard deviations (the first
     class if several; '(none)' without words)."""
-    rows = with_tokens(word_classes(docs, spec.topics, text, "_counts"), spec.vocabulary, text, "_tokens")
-    rows = rows.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(f"_{c}") for c in ("source", "lang")])
+    rows = counted(docs, spec, text).select("*", *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(f"_{c}") for c in ("source", "lang")])
     rows = scratch.write(rows, "counted")
     sums = rows.groupBy("_lang").agg(*[F.sum(F.get("_counts", F.lit(k))).alias(f"_w{k}") for k in range(spec.topics)])
     usual = F.array(*[F.col(f"_w{k}") / F.greatest(sum((F.col(f"_w{j}") for j in range(spec.topics)), F.lit(0)), F.lit(1)) for k in range(spec.topics)])
