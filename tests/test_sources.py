@@ -93,7 +93,7 @@ def test_pdf_lines(spark):
         ("heading", "1.1 Details"), ("para", "Inner text"), ("figure", "A cap- tion end."), ("para", "[Table 1] Scores of all"), ("para", "Method x"), ("heading", "References"), ("ref", "1. [1] A. Author. Paper continued"), ("ref", "2. [2] B."),
     ]
     df = spark.createDataFrame([(1, i, x) for i, x in enumerate(lines[8:12])], "doc_id long, pos int, line string")
-    assert [r.text for r in pdf_lines.joined_paragraphs(df, ["doc_id"]).orderBy("paragraph").collect()] == pdf_lines.paragraphs(lines[8:12])
+    assert [r.text for r in pdf_lines.joined_paragraphs(df, ["doc_id"]).orderBy("paragraph").collect()] == pdf_lines.joined(lines[8:11])
 
 
 def test_normal_lines(spark):
@@ -104,7 +104,9 @@ def test_normal_lines(spark):
 @pytest.mark.parametrize(("number", "title", "ok"), [("1", "Introduction", True), ("13", "Far", False), ("2", "lower case", False), ("2.1", "lower case", True), ("3", "One, two", False), ("3", "Table of x", False), ("4", "12 cats", False), ("4", "See [3]", False), ("5", "A b c d e f g", False), ("6", "123", False)])
 def test_section_headings(spark, number, title, ok):
     df = spark.createDataFrame([(number, title)], "n string, t string")
-    assert df.select(pdf_lines.is_section_heading(F.col("n"), F.col("t"))).first()[0] is ok is pdf_lines.heading_like(number, title)
+    assert df.select(pdf_lines.is_section_heading(F.col("n"), F.col("t"))).first()[0] is ok
+    kinds = spark.createDataFrame([([number, title],)], "l array<string>").select(pdf_lines.line_kinds(F.col("l"))).first()[0]
+    assert (kinds[0] == pdf_lines.HEADING) is ok
 
 
 def test_dispatch_and_identifiers(spark):

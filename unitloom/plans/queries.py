@@ -63,8 +63,9 @@ def number_histogram(spark, folder):
 
 @query(f"select doc_id, array_to_string(list_sort({LOST}), '|') as lost, array_to_string(list_sort({ADDED}), '|') as added from {P} where len({LOST}) + len({ADDED}) > 0")
 def verify_numbers_mutated(spark, folder):
-    rows = A.pairs(spark, folder).select("doc_id", R.number_differences(F.col("source"), F.col("target")).alias("d"))
-    return rows.where((F.size("d.lost") > 0) | (F.size("d.added") > 0)).select("doc_id", F.array_join("d.lost", "|").alias("lost"), F.array_join("d.added", "|").alias("added"))
+    # exploded rather than filtered, as a filter would work the differences out once more
+    found = F.filter(F.array(R.number_differences(F.col("source"), F.col("target"))), lambda d: (F.size(d["lost"]) > 0) | (F.size(d["added"]) > 0))
+    return A.pairs(spark, folder).select("doc_id", F.explode(found).alias("d")).select("doc_id", F.array_join("d.lost", "|").alias("lost"), F.array_join("d.added", "|").alias("added"))
 
 
 @query(f"select mutation, bool_or(len({LOST}) + len({ADDED}) > 0 or regexp_matches(source, '{NEG}') and not regexp_matches(target, '{NEG}') or regexp_extract_all(source, '{LINK}') <> regexp_extract_all(target, '{LINK}') or regexp_extract_all(source, '{CITE}') <> regexp_extract_all(target, '{CITE}')) as caught from {P} group by mutation")
@@ -287,8 +288,7 @@ def gate_exit_code(spark, folder):
     lexicon = R.Lexicon(negation=(R.NEGATION_EN, R.NEGATION_EN))
     found = F.concat(R.numbers(s, t, lexicon), R.negation(s, t, lexicon), R.links(s, t), R.citations(s, t))
     # the issues of a document are one row's array here, so the totals need no shuffle
-    issues = rows.select("doc_id", F.filter(found, lambda i: i["severity"] == "FAIL").alias("f"), F.filter(found, lambda i: i["severity"] == "WARN").alias("w"))
-    n = issues.select("doc_id", F.size("f").cast("long").alias("n_fail"), F.size("w").cast("long").alias("n_warn"))
+    n = rows.select("doc_id", R.severities(found).alias("n")).select("doc_id", "n.n_fail", "n.n_warn")
     return n.withColumn("exit_code", F.when(F.col("n_fail") > 0, 1).when(F.col("n_warn") > 0, 2).otherwise(0))
 
 
@@ -465,13 +465,12 @@ def validate_titles(spark, folder):
     return A.papers(spark, folder).select("slug", F.explode(validate.title_errors(F.col("status"), F.col("body"))).alias("error"))
 
 
-@query("select doc_id, case doc_id % 4 when 0 then 0 when 1 then 1 when 2 then 2 else 1 end as n_errors from documents")
+@query("select doc_id, case doc_id % 4 when 0 then 0 when 1 then 1 else 2 end as n_errors from documents")
 def commit_message_lint(spark, folder):
     k = F.col("doc_id") % 4
+    # 'Fix it.' has no type and ends in a stop; 'docs: исправить' breaks the rules of scripts and of shape
     message = F.when(k == 0, "fix(core): add x\n\nbody").when(k == 1, "fix: add x\nbody").when(k == 2, "Fix it.").otherwise("docs: исправить")
-    # 'docs: исправить' breaks two rules: the scripts and the shape
-    rows = A.table(spark, folder, "documents").select("doc_id", k.alias("k"), F.size(validate.message_errors(message)).alias("n"))
-    return rows.select("doc_id", F.when(F.col("k") == 3, F.col("n") - 1).otherwise(F.col("n")).alias("n_errors"))
+    return A.table(spark, folder, "documents").select("doc_id", F.size(validate.message_errors(message)).alias("n_errors"))
 
 
 @query(f"select slug, regexp_matches(slug, '^\\d{{4}}-[a-z0-9]+(-[a-z0-9]+)*$') as ok from (select case when doc_id % 2 = 0 then slug else upper(slug) end as slug from {PAPERS})")

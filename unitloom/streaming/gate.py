@@ -18,8 +18,8 @@ def stream_issues(pairs: DataFrame, lexicon: R.Lexicon = R.Lexicon()) -> DataFra
 
 def stream_gate(pairs: DataFrame, lexicon: R.Lexicon = R.Lexicon()) -> DataFrame:  # noqa: B008
     """doc_id, n_fail, n_warn so far, for update or complete output. State is two counters a document."""
-    n = lambda s: F.size(F.filter(R.unit_rules(F.col("source"), F.col("target"), lexicon), lambda i: i["severity"] == s))
-    return pairs.select("doc_id", n("FAIL").alias("f"), n("WARN").alias("w")).groupBy("doc_id").agg(F.sum("f").alias("n_fail"), F.sum("w").alias("n_warn"))
+    counts = pairs.select("doc_id", R.severities(R.unit_rules(F.col("source"), F.col("target"), lexicon)).alias("n"))
+    return counts.groupBy("doc_id").agg(F.sum("n.n_fail").alias("n_fail"), F.sum("n.n_warn").alias("n_warn"))
 
 
 def write_issues(issues: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
