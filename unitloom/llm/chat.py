@@ -10,7 +10,7 @@ from .common import Scratch, join_counted, small_broadcast
 
 QUOTE = r"^(?:[ \t]*>)+"
 #: Ends of lines that name the author of the quotation below them.
-ATTRIBUTION = r"(?i)\S.*(?:wrote|a écrit|schrieb|escribió) ?: *$"
+ATTRIBUTION = r"(?i)(?:wrote|a écrit|schrieb|escribió) ?: *$"
 #: Turns of one conversation that a window holds; further stretches meet by their sums.
 STRETCH = 4096
 #: Messages in one row of conversations().
