@@ -29,7 +29,7 @@ from .wordhash import RunHash, Words, chunks, mix, signed
 #: Windows of a block at most, so that a text of one repeated word makes many blocks.
 LONGEST = 1024
 #: Different blocks of one anchor in a shard, about.
-SHARD_BLOCKS = 512
+SHARD_BLOCKS = 4096
 #: Bytes of blocks that are parsed at once (shards are not divided).
 PARSE_BYTES = 1 << 20
 
