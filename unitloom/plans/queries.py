@@ -77,6 +77,15 @@ def mutation_recall(spark, folder):
     return rows.select("mutation", F.exists(found, lambda i: i["severity"] == "FAIL").alias("fail")).groupBy("mutation").agg(F.bool_or("fail").alias("caught"))
 
 
+@query(f"select m as mutation, count(*) as n_documents, count(*) as n_caught from documents, (values {', '.join(f'({m!r})' for m in A.MUTANTS)}) v(m) group by 1")
+def mutants_caught(spark, folder):
+    """Whole verification and gate over six mutants of every document's translation: all of them must fail."""
+    units, results, bodies = A.mutants(spark, folder)
+    issues = verify.verify(units, results, bodies, A.MUTANT_TERMS, R.Lexicon(negation=(R.NEGATION_EN, R.NEGATION_EN)))
+    gated = verify.gate(bodies, issues).withColumn("mutation", F.substring_index("doc_id", ":", 1))
+    return gated.groupBy("mutation").agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("exit_code") == 1).alias("n_caught"))
+
+
 @query(f"select doc_id, case when regexp_matches(source, '{NEG}') then 'FAIL' else 'WARN' end as severity from {P} where regexp_matches(source, '{NEG}') <> regexp_matches(target, '{NEG}')")
 def verify_negation(spark, folder):
     lexicon = R.Lexicon(negation=(R.NEGATION_EN, R.NEGATION_EN))
