@@ -159,11 +159,13 @@ def placeholder_multiset(spark, folder):
     return rows.select("conv_id", "turn", X.placeholder_error(b, a).alias("error")).where("error is not null")
 
 
-@query("select conv_id, turn, case when turn % 2 = 0 then 2 else 5 end as n from conversations")
+@query("select conv_id, turn, 'placeholder left in output: ⟦N' || n || '⟧' as message from conversations, range(1, 6) r(n) where n <= length(\"text\") % 9")
 def placeholder_leftover(spark, folder):
+    # as many as the text's length mod 9 says; the first five are told
     rows = A.table(spark, folder, "conversations")
-    text = F.concat("text", F.when(F.col("turn") % 2 == 0, "⟦N1⟧⟦N2⟧").otherwise("⟦N1⟧⟦N2⟧⟦N3⟧⟦N4⟧⟦N5⟧⟦N6⟧⟦N7⟧"))
-    return rows.select("conv_id", "turn", F.size(R.leftover_placeholders(text)).alias("n"))
+    n = F.length("text") % 9
+    marks = F.transform(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda k: F.concat(F.lit("⟦N"), k.cast("string"), F.lit("⟧")))
+    return rows.select("conv_id", "turn", F.explode(R.leftover_placeholders(F.concat("text", F.array_join(marks, " ")))).alias("i")).select("conv_id", "turn", "i.message")
 
 
 @query(
@@ -194,6 +196,18 @@ def sql_term(column: str, word: str) -> str:
 FOUND = " union all ".join(f"select conv_id, turn, \"text\", '{t.label}' as label from conversations where {' or '.join(sql_term('text', e) for e in t.en)}" for t in A.TERMS)
 
 
+#: What is said of A.TERMS: their abbreviations, whether first use carries the source form, what it then reads, the plain form.
+SAID = "(values ('the', 'THX', false, 'des', 'des'), ('from', null, true, 'from (from; source)', 'from'), ('was', null, true, 'was (was)', 'was'), ('with', 'WTH', false, 'with', 'with')) said(label, abbr, wants, first_form, plain_form)"
+
+
+def sql_hits(rows: str) -> str:
+    """Terms of conversation rows with the place of the first match of each."""
+    forms = {t.label: "|".join(t.en).lower() for t in A.TERMS}
+    place = lambda words: f"length(regexp_extract(low, '(?s)^(.*?(?:^|{W_}))(?:{words})(?:s|es)?(?:$|{W_})', 1))"
+    rows = f"(select *, lower(regexp_replace(replace(\"text\", '*', ''), '-{{2,}}', '-', 'g')) as low from {rows})"
+    return " union all ".join(f"select conv_id, turn, role, \"text\", '{k}' as label, {place(v)} as pos from {rows} where regexp_matches(low, '(^|{W_})({v})(s|es)?($|{W_})')" for k, v in forms.items())
+
+
 @query(f"select cast(conv_id as varchar) as doc_id, turn as ordinal, label from ({FOUND})")
 def term_matches(spark, folder):
     rows = terms.with_matches(A.units(spark, folder).withColumn("plain", F.col("text")), A.TERMS)
@@ -246,9 +260,18 @@ def term_forms(spark, folder):
     return m.groupBy("doc_id", "label").agg(F.count_distinct("form").alias("n_forms"))
 
 
-@query()
+RESTATED = "case when turn % 3 = 0 then regexp_replace(\"text\", '(?i)\\bwas\\b', 'were', 'g') else \"text\" end"
+
+
+@query(
+    f"with f as (select conv_id, {RESTATED} as target from ({FOUND}) where label = 'was'), g as (select conv_id, case when {sql_stem('target', 'was')} then 'was' when {sql_stem('target', 'were')} then 'were' end as form from f) "
+    "select cast(conv_id as varchar) as doc_id, '-' as unit_id, 'glossary' as \"check\", 'FAIL' as severity, 'was: inconsistent forms [''was'', ''were'']' as message from g group by conv_id having count(distinct form) > 1"
+)
 def form_consistency(spark, folder):
-    return terms.consistency_issues(terms.term_mentions(_mentions(spark, folder), A.TERMS))
+    # every third unit says were for was
+    told = F.when(F.col("ordinal") % 3 == 0, F.regexp_replace("text", r"(?i)\bwas\b", "were")).otherwise(F.col("text"))
+    rows = A.units(spark, folder).withColumns({"plain": F.col("text"), "plain_target": told, "exceptions": F.array().cast("array<string>")})
+    return terms.consistency_issues(terms.term_mentions(terms.with_matches(rows, A.TERMS), A.TERMS))
 
 
 @query(f"with f as ({FOUND}) select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, cast(max(case when t0 = turn then 1 else 0 end) as int) as n_first, cast(max(case when t0 < turn then 1 else 0 end) as int) as n_known from (select conv_id, turn, min(case when role <> 'system' then turn end) over (partition by conv_id, label) as t0 from (select f.*, role from f join conversations c using (conv_id, turn)) where label = 'the') where t0 is not null and turn >= t0 group by 1, 2")
@@ -258,16 +281,31 @@ def introduced_before(spark, folder):
     return rows.where(F.array_contains("abbr_first", "THX") & F.col("translate") | F.array_contains("abbr_known", "THX")).select("doc_id", "unit_id", has("abbr_first").alias("n_first"), has("abbr_known").alias("n_known"))
 
 
-@query(
-    "with u as (select conv_id, turn, case when role <> 'system' then regexp_replace(\"text\", '^\\s+|\\s+$', '', 'g') end as t from conversations), "
+CONTEXT = (
+    "(with u as (select conv_id, turn, case when role <> 'system' then regexp_replace(\"text\", '^\\s+|\\s+$', '', 'g') end as t from conversations), "
     "p as (select conv_id, turn, string_split(regexp_replace(last_value(t ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) as s from u) "
-    "select cast(conv_id as varchar) as doc_id, turn as ordinal, coalesce(array_to_string(s[greatest(1, len(s) - 1):], ' '), '') as context from p"
+    "select conv_id, turn, coalesce(array_to_string(s[greatest(1, len(s) - 1):], ' '), '') as context from p)"
 )
+
+
+@query(f"select cast(conv_id as varchar) as doc_id, turn as ordinal, context from {CONTEXT}")
 def prompt_context(spark, folder):
     return translate.context(A.units(spark, folder)).select("doc_id", F.col("ordinal").cast("long").alias("ordinal"), "context")
 
 
-@query()
+def sql_notes(first: str, known: str, title: str) -> str:
+    return f"'{title}: ' || nullif(concat_ws('; ', 'first use: ' || {first}, 'already introduced: ' || {known}), '')"
+
+
+@query(
+    f"with h as ({sql_hits('conversations')}), m as (select *, coalesce(min(case when role <> 'system' then turn end) over (partition by conv_id, label) < turn, false) as met from h join {SAID} using (label)), "
+    "g as (select conv_id, turn, string_agg(label || ' → ' || case when wants and not met then first_form else plain_form end, chr(10) order by pos) as glossary, "
+    "string_agg(abbr, ', ' order by abbr) filter (where not met) as a1, string_agg(abbr, ', ' order by abbr) filter (where met) as a2, "
+    "string_agg(label, ', ' order by label) filter (where wants and not met) as h1, string_agg(label, ', ' order by label) filter (where wants and met) as h2 from m group by 1, 2) "
+    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, concat_ws(chr(10) || chr(10), 'Glossary:' || chr(10) || glossary, "
+    f"{sql_notes('a1', 'a2', 'Abbreviation notes')}, {sql_notes('h1', 'h2', 'First-mention notes')}, 'Context (do not translate): ' || nullif(context, ''), 'Text:' || chr(10) || \"text\") as prompt "
+    f"from conversations left join g using (conv_id, turn) join {CONTEXT} using (conv_id, turn)"
+)
 def unit_prompts(spark, folder):
     return translate.prompts(A.units(spark, folder), A.TERMS).select("doc_id", "unit_id", "prompt")
 
@@ -301,10 +339,44 @@ def gate_exit_code(spark, folder):
     return n.withColumn("exit_code", F.when(F.col("n_fail") > 0, 1).when(F.col("n_warn") > 0, 2).otherwise(0))
 
 
-@query()
+OPEN = "conv_id % 7 = 0 and turn = 1"  # units whose translation needs repair
+UNIT = "cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id"
+CLAIMED = " The score 0.95 may rise"
+RETOLD = (f"{CLAIMED} (THX)", CLAIMED.replace("0.95", "0.59"), f"{CLAIMED.replace('may', 'не')} (from) (THX)", CLAIMED)  # by turn mod 4
+VERIFIED = f"""with u as (select conv_id, turn, role, "text" || '{CLAIMED}' as "text", turn % 4 as k from conversations),
+t as (select conv_id, turn, role, k, "text", case when turn <> 3 and not ({OPEN}) then substring("text", 1, length("text") - {len(CLAIMED)}) || case k {' '.join(f"when {k} then '{v}'" for k, v in enumerate(RETOLD))} end end as target from u where role <> 'system'),
+h as ({sql_hits('u')}),
+n as (select label, conv_id, turn, target, k = 2 and target is not null as paren, row_number() over w as nth, first_value(turn) over w as t0 from h join t using (conv_id, turn) where label in ('from', 'was') window w as (partition by conv_id, label order by turn)),
+a as (select conv_id, turn, row_number() over w as nth, first_value(turn) over w as t0 from t where target is not null and k in (0, 2) window w as (partition by conv_id order by turn)),
+s as (select conv_id, {KIND} as kind, count(*) as n, count(target) as m from t group by 1, 2),
+i as (
+select conv_id, turn, 'status' as "check", 'FAIL' as severity, 'needs repair' as message from conversations where {OPEN}
+union all select conv_id, turn, 'numbers', 'FAIL', 'numbers differ: lost [''0.95''] added [''0.59'']' from t where target is not null and k = 1
+union all select conv_id, turn, 'negation', 'FAIL', 'negation lost' from t where target is not null and k <> 2 and regexp_matches("text", '{NEG}')
+union all select conv_id, turn, 'negation', 'WARN', 'negation added, check the meaning' from t where target is not null and k = 2 and not regexp_matches("text", '{NEG}')
+union all select conv_id, turn, 'hedging', 'WARN', 'hedge ''may'' not found in translation' from t where target is not null
+union all select conv_id, turn, 'untranslated', 'WARN', 'mostly Latin text, looks untranslated' from t where len(regexp_extract_all(target, '[A-Za-z]{{3,}}')) >= greatest(6, len(regexp_extract_all(target, '[А-Яа-яЁё]')) + 1)
+union all select conv_id, turn, 'glossary', 'FAIL', 'term missing: the → des' from t where target is not null and not regexp_matches(target, '(^|{W_})THX($|{W_})') and not {sql_stem('target', 'des')}
+union all select conv_id, turn, 'first_mention', 'FAIL', 'missing (' || label || ') on first use → ' || case label when 'from' then 'from (from; source)' else 'was (was)' end from n where nth = 1 and not (paren and label = 'from')
+union all select conv_id, turn, 'gloss', 'WARN', 'missing gloss on first use: source' from n where nth = 1 and paren and label = 'from' and not contains(target, 'source')
+union all select conv_id, turn, 'first_mention', 'WARN', '(from) repeated after ' || printf('u%03d', t0 + 1) from n where nth > 1 and paren and label = 'from'
+union all select conv_id, turn, 'abbrev', 'WARN', 'THX expanded again (first at ' || printf('u%03d', t0 + 1) || ')' from a where nth = 2
+union all select conv_id, -1, 'structure', 'FAIL', kind || ': ' || n || ' in source, ' || m || ' translated' from s where n <> m
+union all select distinct conv_id, -1, 'links', 'FAIL', 'URLs/DOIs differ: [] vs [''https://e.org/x'']' from u where conv_id % 3 = 1
+union all select conv_id, turn, 'figures', 'FAIL', 'missing image assets/g1.png in RU' from u where role = 'assistant' and turn = 1)
+select cast(conv_id as varchar) as doc_id, case when turn < 0 then '-' else printf('u%03d', turn + 1) end as unit_id, "check", severity, message from i"""
+
+
+@query(VERIFIED)
 def verify_documents(spark, folder):
-    units, results = A.units(spark, folder), A.translations(spark, folder)
-    bodies = render.render(units).select("doc_id", F.col("body").alias("body_source"), F.col("body").alias("body_target"))
+    """Every rule at once: units with a claim at the end, translated with faults that change with the turn; bodies that lose the
+    image of turn 1 and, every third, gain a link."""
+    units = A.units(spark, folder).withColumns({"text": F.concat("text", F.lit(CLAIMED)), "source_md": F.concat("text", F.lit(CLAIMED))})
+    k = F.regexp_extract("unit_id", r"(\d+)", 1).cast("int") - 1
+    end = F.element_at(F.array(*map(F.lit, RETOLD)), F.pmod(k, F.lit(4)) + 1)
+    results = A.translations(spark, folder).withColumn("text", F.concat("text", end))
+    changed = F.concat(F.replace("body", F.lit("assets/g1.png"), F.lit("assets/h1.png")), F.when(F.col("doc_id").cast("long") % 3 == 1, " https://e.org/x").otherwise(""))
+    bodies = render.render(units).select("doc_id", F.col("body").alias("body_source"), changed.alias("body_target"))
     return verify.verify(units, results, bodies, A.TERMS)
 
 
@@ -341,13 +413,31 @@ def render_document(spark, folder):
     return render.rendered(rows)
 
 
-@query()
+STRIP = "regexp_replace(\"text\", '^\\s+|\\s+$', '', 'g')"
+
+
+@query(
+    f"with b as (select conv_id, turn, case role when 'system' then '## ' || \"text\" when 'user' then {STRIP} else '![Рис. 1](assets/g' || turn || '.png)' || chr(10) || chr(10) || '**Рис. 1.** ' || {STRIP} end as block from conversations where turn <> 3) "
+    "select cast(conv_id as varchar) as doc_id, string_agg(block, chr(10) || chr(10) order by turn) || chr(10) as body from b where block <> '' group by conv_id"
+)
 def render_units(spark, folder):
     units = A.units(spark, folder).where("ordinal <> 3")
     return render.render(units, A.translations(spark, folder))
 
 
-@query()
+REVIEW_TAIL = "\n\n".join(
+    ["## MQM checklist"] + [f"### {t}\n\n_{h}_\n\n- [ ] Critical issues: _(none / list)_\n- [ ] Major issues: _(none / list)_\n- [ ] Minor notes: _(none / list)_" for t, h in render.CHECKLIST]
+    + ["## Issues for repair", "List unit IDs and fixes (feeds `fix_unit` / re-verify):", "1. \n"]
+)
+
+
+@query(
+    f"with h as (select conv_id, turn, string_agg('- ' || label || ' → ' || plain_form, chr(10) order by pos) as hits from ({sql_hits('conversations')}) join {SAID} using (label) group by 1, 2), "
+    f"p as (select conv_id, turn, concat_ws(chr(10) || chr(10), '### ' || printf('u%03d', turn + 1) || ' (' || {KIND} || ')', '**EN**', \"text\", '**RU**', case when role <> 'system' and turn = 3 then '_(missing translation)_' else \"text\" end, "
+    f"'**Glossary hits**', coalesce(hits, '- _(none)_'), '**Verify warnings**', case when {OPEN} then '- FAIL `status`: needs repair' else '- _(none)_' end) as part from conversations left join h using (conv_id, turn)) "
+    "select cast(conv_id as varchar) as doc_id, '# Review pack: ' || conv_id || chr(10) || chr(10) || 'Advisory only — scripted `verify` remains the gate. Fill the MQM checklist below.' || chr(10) || chr(10) || '## Units' || chr(10) || chr(10) "
+    f"|| string_agg(part, chr(10) || chr(10) order by turn) || chr(10) || chr(10) || '{REVIEW_TAIL}' as review from p group by conv_id"
+)
 def review_pack(spark, folder):
     units, results = A.units(spark, folder), A.translations(spark, folder)
     rows = terms.with_matches(units.withColumn("plain", F.col("text")), A.TERMS)
@@ -415,13 +505,8 @@ def topic_contains_all(spark, folder):
     return C.listing(C.records(A.papers(spark, folder)), topics=["en", "t1"]).select("slug")
 
 
-@query(f"select slug, 'Сложность ' || difficulty || '/10. note' as label from {PAPERS} where difficulty is not null and doc_id % 9 <> 0")
-def difficulty_labels(spark, folder):
-    return A.papers(spark, folder).where("difficulty is not null and difficulty_note = 'note'").select("slug", C.difficulty_label(F.col("difficulty"), F.col("difficulty_note")).alias("label"))
-
-
 @query(f"select slug, 'Сложность ' || difficulty || '/10.' || case when doc_id % 9 = 0 then '' else ' note' end as label from {PAPERS}")
-def difficulty_labels_all(spark, folder):
+def difficulty_labels(spark, folder):
     return A.papers(spark, folder).select("slug", C.difficulty_label(F.col("difficulty"), F.col("difficulty_note")).alias("label"))
 
 
@@ -443,14 +528,8 @@ def page_decoration(spark, folder):
     return A.table(spark, folder, "pages").select("page_id", F.concat("url", F.lit(PAGE)).alias("html")).transform(C.decorate, "html")
 
 
-@query(f"select slug, '> **Неофициальный перевод.** Оригинал: ' || authors || '. «' || title || '». Journal, ' || year || '. PDF: [https://example.org/](https://example.org/). Лицензия: CC-BY.' || chr(10) || chr(10) as note from {PAPERS} where year is not null and doc_id % 5 <> 2")
-def attribution_header(spark, folder):
-    p = A.papers(spark, folder).where("year is not null and pdf is null")
-    return p.select("slug", render.attribution(p).alias("note"))
-
-
 @query(f"select slug, case when year is not null then '> **Неофициальный перевод.** Оригинал: ' || authors || '. «' || title || '». Journal, ' || year || '. PDF: [' || link || '](' || link || '). Лицензия: CC-BY.' || chr(10) || chr(10) end as note from (select *, 'https://example.org/' || case when doc_id % 5 = 2 then cast(doc_id as varchar) else '' end as link from {PAPERS})")
-def attribution_header_all(spark, folder):
+def attribution_header(spark, folder):
     p = A.papers(spark, folder)
     return p.select("slug", render.attribution(p).alias("note"))
 
@@ -511,20 +590,14 @@ def manual_fix_overlay(spark, folder):
     return repair.manual_fix(A.units(spark, folder), results, fixes).select("doc_id", "unit_id", "text", F.coalesce("manual", F.lit(False)).alias("manual"))
 
 
-@query("select doc_id, true as same from documents")
+@query(f"select doc_id, mutation, case mutation when 'negation_dropped' then replace(source, 'may not', 'may') when 'link_changed' then replace(source, 'example.org/d', 'example.net/d') else source end as restored from {P}")
 def mechanical_numbers(spark, folder):
-    # with thousands joined both texts have as many numbers, so whatever was changed comes back
-    rows = A.pairs(spark, folder).select("doc_id", "source", repair.restore_numbers(F.col("source"), F.replace("target", F.lit("1 000"), F.lit("1000"))).alias("restored"))
-    return rows.select("doc_id", (F.size(F.array_except(X.number_tokens(F.col("source")), X.number_tokens(F.col("restored")))) == 0).alias("same"))
-
-
-@query(f"select doc_id, replace(source, '1,000', '1 000') as restored from {P} where mutation = 'link_changed'")
-def mechanical_links(spark, folder):
-    return A.pairs(spark, folder).where("mutation = 'link_changed'").select("doc_id", repair.restore_links(F.col("source"), F.col("target")).alias("restored"))
+    # with thousands joined both texts have as many numbers, so all of them come back, and nothing else
+    return A.pairs(spark, folder).select("doc_id", "mutation", repair.restore_numbers(F.col("source"), F.replace("target", F.lit("1 000"), F.lit("1000"))).alias("restored"))
 
 
 @query(f"select doc_id, mutation, case mutation when 'link_changed' then replace(source, '1,000', '1 000') else target end as restored from {P}")
-def mechanical_links_all(spark, folder):
+def mechanical_links(spark, folder):
     # texts whose links agree must come back untouched
     return A.pairs(spark, folder).select("doc_id", "mutation", repair.restore_links(F.col("source"), F.col("target")).alias("restored"))
 
@@ -540,11 +613,16 @@ def repair_accept(spark, folder):
     return A.pairs(spark, folder).select("doc_id", repair.rules_pass(F.col("source"), F.col("target"), lexicon).alias("accepted"))
 
 
-@query()
+@query(
+    f"select {UNIT}, case when {OPEN} and not mended then 'needs_repair' else 'ok' end as status, case when {OPEN} and mended then 'mechanical' end as repaired, \"text\" || case when {OPEN} and not mended then ' https://e.org/b' else ' https://e.org/a' end as text "
+    f"from (select *, role <> 'system' and (not {sql_term('text', 'the')} and not {sql_term('text', 'THX')} or {sql_stem('text', 'des')} or regexp_matches(\"text\", '(^|{W_})THX($|{W_})')) as mended from conversations) where turn <> 3"
+)
 def repair_loop(spark, folder):
-    units, results = A.units(spark, folder), A.translations(spark, folder)
+    """Units that need repair have another link than their source; putting it right mends those that lack no term."""
+    linked = lambda df, bad: df.withColumn("text", F.concat("text", F.when(bad, " https://e.org/b").otherwise(" https://e.org/a")))
+    units, results = linked(A.units(spark, folder), F.lit(False)), linked(A.translations(spark, folder), F.col("status") != "ok")
     final, _, _ = repair.repair(units, results, lambda t: verify.union_all(verify.status_issues(t)), A.TERMS, R.Lexicon(negation=(R.NEGATION_EN, R.NEGATION_EN), hedges={}), cut=cut)
-    return final.select("doc_id", "unit_id", "status", "repaired")
+    return final.select("doc_id", "unit_id", "status", "repaired", "text")
 
 
 # sources ------------------------------------------------------------------------------------------------------------------------
