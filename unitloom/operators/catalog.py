@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import cut
 from .render import plain_title
 
 WORDS_A_MINUTE = 120
@@ -86,9 +87,24 @@ def newest_first(catalog: DataFrame) -> DataFrame:
 
 def ordered(catalog: DataFrame, mode: str) -> DataFrame:
     """year-asc, year-desc (year): ties by slug. difficulty-asc, difficulty-desc: ties in catalogue order. Nulls last either way."""
+    return catalog.orderBy(*_keys(mode))
+
+
+def _keys(mode: str) -> list[Column]:
     axis, _, way = ("year-desc" if mode == "year" else mode).partition("-")
     key = F.asc_nulls_last(axis) if way == "asc" else F.desc_nulls_last(axis)
-    return catalog.orderBy(key, "slug") if axis == "year" else catalog.orderBy(key, F.desc(F.coalesce("year", F.lit(0))), "slug")
+    return [key, F.asc("slug")] if axis == "year" else [key, F.desc(F.coalesce("year", F.lit(0))), F.asc("slug")]
+
+
+def placed(catalog: DataFrame, mode: str) -> DataFrame:
+    """ordered() with each record's place from 1. Rows are dealt to ranges of the order and numbered in them; only the ranges'
+    sizes meet in one window."""
+    ranges = cut(catalog.repartitionByRange(*_keys(mode)).withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_before"))
+    rows = ranges.join(F.broadcast(starts), "_range").withColumn("place", F.row_number().over(Window.partitionBy("_range").orderBy(*_keys(mode))) + F.col("_before"))
+    return rows.drop("_range", "_before")
 
 
 def facets(catalog: DataFrame) -> DataFrame:

@@ -47,6 +47,7 @@ def term_matcher(terms: list[Term]):
     """text -> [(label, place)] in order of place: whole words in any case, an ending s or es allowed; longer forms take their
     stretch first. One automaton finds all forms, so the cost does not grow with the number of terms."""
     import re
+    from bisect import bisect
 
     import ahocorasick
 
@@ -81,12 +82,13 @@ def term_matcher(terms: list[Term]):
             stop = end_of(low, last + 1)
             if stop is not None:
                 hits += [(rank, start, stop) for rank in ranks]
-        taken: list[tuple[int, int]] = []
+        taken: list[tuple[int, int]] = []  # sorted stretches that do not meet
         first: dict[int, int] = {}
         for rank, start, stop in sorted(hits):
-            if any(start < b and a < stop for a, b in taken):
+            at = bisect(taken, (start, stop))
+            if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < stop):
                 continue
-            taken.append((start, stop))
+            taken.insert(at, (start, stop))
             k = forms[rank][1]
             first[k] = min(start, first.get(k, start))
         return sorted(((terms[k].label, at) for k, at in first.items()), key=lambda x: x[1])
@@ -122,11 +124,11 @@ def _short(form: str) -> bool:
     return bool(re.fullmatch(r"[A-Z][A-Za-z0-9]{1,6}", form))
 
 
-def matched_terms(units: DataFrame, terms: list[Term], keep: list[str], limit: int = 100_000) -> DataFrame:
-    """One row per unit and matched term: keep's columns, pos, and the term's columns. The table of terms is broadcast while it
-    has at most `limit` rows."""
+def matched_terms(units: DataFrame, terms: list[Term], keep: list[str], limit: int = 32 << 20) -> DataFrame:
+    """One row per unit and matched term: keep's columns, pos, and the term's columns. The table of terms is broadcast while its
+    strings and rows take at most `limit` bytes; beyond, the join shuffles."""
     table = terms_table(units, terms)
-    if len(terms) <= limit:
+    if sum(256 + sum(len(x.encode()) for x in (t.label, *t.en, *t.ru, 2 * t.ru_raw, 2 * t.gloss)) for t in terms) <= limit:
         table = F.broadcast(table)
     exploded = units.select(*keep, F.explode("matches").alias("_m")).select(*keep, F.col("_m.label").alias("label"), F.col("_m.pos").alias("pos"))
     return exploded.join(table, "label")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -97,11 +97,18 @@ HEDGE_SQL = "case " + " ".join(
 ) + " end"
 
 
-@query(f"select doc_id, hedge from (select doc_id, {HEDGE_SQL} as hedge from (select doc_id, source, case when doc_id % 2 = 0 then target || ' это может быть' else target end as target from {P})) where hedge is not null")
+STRONG = "(?i)(?:^|[^\\p{L}\\p{N}_])(?:prov[\\p{L}\\p{N}_]+|confirm[\\p{L}\\p{N}_]*|guarantee[\\p{L}\\p{N}_]*|always(?:$|[^\\p{L}\\p{N}_])|demonstrat[\\p{L}\\p{N}_]+|ensur[\\p{L}\\p{N}_]+|show[\\p{L}\\p{N}_]*|establish[\\p{L}\\p{N}_]*)"
+
+
+@query(
+    f"with t as (select doc_id, source, target || case doc_id % 4 when 0 then ' это может быть' when 2 then ' это может быть всегда' else '' end as target, doc_id % 4 = 2 as strong from {P}), "
+    f"h as (select *, {HEDGE_SQL} as hedge from t) select doc_id, case when hedge is not null then 'hedge ' || chr(39) || hedge || chr(39) || ' not found in translation' else 'translation is stronger than the source' end as message "
+    f"from h where hedge is not null or strong and not regexp_matches(source, '{STRONG}')"
+)
 def verify_hedging(spark, folder):
-    rows = A.pairs(spark, folder).withColumn("target", F.when(F.col("doc_id") % 2 == 0, F.concat("target", F.lit(" это может быть"))).otherwise(F.col("target")))
-    found = rows.select("doc_id", F.explode(R.hedging(F.col("source"), F.col("target"))).alias("i"))
-    return found.select("doc_id", F.regexp_extract("i.message", "'(.*)'", 1).alias("hedge")).where("hedge <> ''")
+    k = F.pmod("doc_id", F.lit(4))
+    rows = A.pairs(spark, folder).withColumn("target", F.concat("target", F.when(k == 0, " это может быть").when(k == 2, " это может быть всегда").otherwise("")))
+    return rows.select("doc_id", F.explode(R.hedging(F.col("source"), F.col("target"))).alias("i")).select("doc_id", "i.message")
 
 
 @query(f"select doc_id from {P} where len(regexp_extract_all(target, '[A-Za-z]{{3,}}')) >= 6 and len(regexp_extract_all(target, '[А-Яа-яЁё]')) < len(regexp_extract_all(target, '[A-Za-z]{{3,}}'))")
@@ -232,32 +239,36 @@ def sql_stem(text: str, word: str) -> str:
     f"where label = 'the' and not {sql_stem('target', 'des')} and not regexp_matches(target, '(^|{W_})THX($|{W_})')"
 )
 def term_missing(spark, folder):
-    return terms.missing_terms(_mentions(spark, folder), A.TERMS).where(F.startswith("message", F.lit("term missing: the"))).select("doc_id", "unit_id", "message")
+    return terms.missing_terms(_mentions(spark, folder), A.TERMS).select("doc_id", "unit_id", "message")
 
 
 @query(
     f"with f as ({FOUND}), n as (select *, row_number() over (partition by conv_id, label order by turn) as k, first_value(turn) over (partition by conv_id, label order by turn) as t0 from f where label in ('from', 'was')) "
-    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, label, case when k = 1 then 'FAIL' else 'WARN' end as severity from n where (k = 1 and turn % 2 = 1) or (k > 1 and turn % 2 = 0)"
+    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, case when k = 1 and turn % 2 = 0 then 'gloss' else 'first_mention' end as \"check\", case when k = 1 and turn % 2 = 1 then 'FAIL' else 'WARN' end as severity, "
+    "case when k > 1 then '(' || label || ') repeated after ' || printf('u%03d', t0 + 1) when turn % 2 = 0 then 'missing gloss on first use: source' when label = 'from' then 'missing (from) on first use → from (from; source)' else 'missing (was) on first use → was (was)' end as message "
+    "from n where (k = 1 and (turn % 2 = 1 or label = 'from' and not contains(\"text\", 'source'))) or (k > 1 and turn % 2 = 0)"
 )
 def first_mention(spark, folder):
-    found = terms.first_mention_issues(terms.term_mentions(_mentions(spark, folder), A.TERMS)).where("check = 'first_mention'")
-    return found.select("doc_id", "unit_id", F.regexp_extract("message", r"\((\w+)\)", 1).alias("label"), "severity")
+    return terms.first_mention_issues(terms.term_mentions(_mentions(spark, folder), A.TERMS))
 
 
 @query(
-    f"with f as ({FOUND}), n as (select *, row_number() over (partition by conv_id order by turn) as k from f where label = 'the' and turn % 2 = 1) "
-    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id from n where k = 2"
+    f"with f as ({FOUND}), n as (select *, row_number() over (partition by conv_id order by turn) as k, min(turn) over (partition by conv_id) as t0 from f where label = 'the' and turn % 2 = 1) "
+    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, 'THX expanded again (first at ' || printf('u%03d', t0 + 1) || ')' as message from n where k = 2"
 )
 def abbreviation_reexpanded(spark, folder):
-    return terms.abbreviation_issues(terms.term_mentions(_mentions(spark, folder), A.TERMS)).where(F.startswith("message", F.lit("THX"))).select("doc_id", "unit_id")
+    return terms.abbreviation_issues(terms.term_mentions(_mentions(spark, folder), A.TERMS)).select("doc_id", "unit_id", "message")
+
+
+FORM = "case " + " ".join(f"when label = '{label}' and {sql_stem('target', form)} then '{form}'" for label, form in (("the", "des"), ("from", "from"), ("was", "was"), ("was", "were"), ("with", "with"))) + " end"
 
 
 @query(
-    f"with f as ({FOUND}), g as (select conv_id, case when {sql_stem('text', 'was')} then 'was' end as form from f where label = 'was' union all select conv_id, 'x' as form from f where false) select cast(conv_id as varchar) as doc_id, label, n_forms from (select conv_id, 'was' as label, count(distinct form) as n_forms from g group by conv_id) where n_forms > 0"
+    f"with f as ({FOUND}), g as (select conv_id, label, \"text\" || case when turn % 2 = 0 then ' (from) (was; x)' else ' (THX)' end as target from f) "
+    f"select cast(conv_id as varchar) as doc_id, label, count(distinct form) as n_forms from (select conv_id, label, {FORM} as form from g) where form is not null group by 1, 2"
 )
 def term_forms(spark, folder):
-    m = terms.term_mentions(_mentions(spark, folder), A.TERMS).where("form is not null and label = 'was'")
-    return m.groupBy("doc_id", "label").agg(F.count_distinct("form").alias("n_forms"))
+    return terms.term_mentions(_mentions(spark, folder), A.TERMS).where("form is not null").groupBy("doc_id", "label").agg(F.count_distinct("form").alias("n_forms"))
 
 
 RESTATED = "case when turn % 3 = 0 then regexp_replace(\"text\", '(?i)\\bwas\\b', 'were', 'g') else \"text\" end"
@@ -395,12 +406,13 @@ def publish_gate(spark, folder):
     return verify.publishable(gate_exit_code(spark, folder)).select("doc_id")
 
 
-@query("select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, 'g' || turn || '.png' as name from conversations where role = 'assistant' and turn <> 1")
+@query(
+    "select cast(conv_id as varchar) as doc_id, printf('u%03d', turn + 1) as unit_id, 'missing image assets/g' || turn || '.png in ' || side as message from conversations, (values ('EN', 1), ('RU', 3)) v(side, has) where role = 'assistant' and turn <> has"
+)
 def missing_figures(spark, folder):
     units = A.units(spark, folder)
-    bodies = units.select("doc_id").distinct().select("doc_id", F.lit("![a](assets/g1.png)").alias("body_source"), F.lit("![a](assets/g1.png)").alias("body_target"))
-    found = verify.figure_issues(units, bodies).where(F.endswith("message", F.lit("in RU")))
-    return found.select("doc_id", "unit_id", F.regexp_extract("message", "assets/(.*) in", 1).alias("name"))
+    bodies = units.select("doc_id").distinct().select("doc_id", F.lit("![a](assets/g1.png)").alias("body_source"), F.lit("![a](assets/g3.png)").alias("body_target"))
+    return verify.figure_issues(units, bodies).select("doc_id", "unit_id", "message")
 
 
 @query(
@@ -481,8 +493,7 @@ def catalog_records(spark, folder):
 
 @query(f"select slug, row_number() over (order by year desc nulls last, slug) as place from {PAPERS}")
 def catalog_sort_nulls_last(spark, folder):
-    rows = C.records(A.papers(spark, folder)).select("slug", "year")
-    return C.ordered(rows, "year-desc").withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("year"), "slug")).cast("long")).select("slug", "place")
+    return C.placed(C.records(A.papers(spark, folder)).select("slug", "year"), "year-desc").select("slug", "place")
 
 
 @query(f"select slug, difficulty from {PAPERS} order by difficulty asc nulls last, coalesce(year, 0) desc, slug")
@@ -716,27 +727,41 @@ def article_validation(spark, folder):
     return jats.validate_articles(rows.withColumn("raw", F.when(F.col("doc_id") % 2 == 0, F.col("raw")).otherwise(F.lit("<x>")))).select("doc_id", "valid")
 
 
-@query("select doc_id, n, case n when '1' then true when '2.1' then true else false end as heading from documents, (values ('1'), ('2.1'), ('13')) v(n)")
+TOP = "regexp_matches(title, '^\\p{Lu}') and not contains(title, ',') and len(regexp_split_to_array(trim(title), '\\s+')) <= 6"
+
+
+@query(
+    "select doc_id, n, title, cast(regexp_extract(n, '^\\d+') as int) <= 12 and regexp_matches(title, '[A-Za-z]') and not regexp_matches(title, '^\\d|\\[\\d+\\]|^(?i:table|figure|fig\\.?)\\b') and (contains(n, '.') or "
+    f"{TOP}) as heading from (select doc_id, n, string_split(\"text\", chr(10))[1] as title from documents, (values ('1'), ('2.1'), ('13')) v(n))"
+)
 def pdf_section_heading(spark, folder):
-    rows = A.table(spark, folder, "documents").select("doc_id", F.explode(F.array(F.lit("1"), F.lit("2.1"), F.lit("13"))).alias("n"))
-    return rows.select("doc_id", "n", pdf_lines.is_section_heading(F.col("n"), F.lit("Related Work")).alias("heading"))
+    rows = A.table(spark, folder, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.explode(F.array(F.lit("1"), F.lit("2.1"), F.lit("13"))).alias("n"))
+    return rows.select("doc_id", "n", "title", pdf_lines.is_section_heading(F.col("n"), F.col("title")).alias("heading"))
 
 
 LINES = "(select doc_id, unnest(range(0, len(string_split(\"text\", chr(10))))) as pos, unnest(string_split(\"text\", chr(10))) as line from documents)"
 
 
-@query(
-    f"with l as (select *, lag(line) over (partition by doc_id order by pos) as b from {LINES} where line <> '' and not regexp_matches(line, '^\\d{{1,2}}$')), "
+JOINED = (
+    f"(with l as (select *, lag(line) over (partition by doc_id order by pos) as b from {LINES} where line <> '' and not regexp_matches(line, '^\\d{{1,2}}$')), "
     "p as (select *, sum(case when regexp_matches(b, '[.?!]$') and regexp_matches(line, '^\\p{Lu}') and length(b) < 70 then 1 else 0 end) over (partition by doc_id order by pos) as paragraph from l) "
-    "select doc_id, cast(paragraph as int) as paragraph, trim(replace(replace(string_agg(line, chr(1) order by pos), '-' || chr(1), ''), chr(1), ' ')) as text from p group by 1, 2"
+    "select doc_id, cast(paragraph as int) as paragraph, trim(replace(replace(string_agg(line, chr(1) order by pos), '-' || chr(1), ''), chr(1), ' ')) as text from p group by 1, 2)"
 )
+
+
+@query(f"select * from {JOINED}")
 def line_wrap_join(spark, folder):
     docs = A.table(spark, folder, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where("line <> ''")
     return pdf_lines.joined_paragraphs(lines, ["doc_id"])
 
 
-@query()
+@query(
+    f"with j as {JOINED}, n as (select doc_id, cast(count(paragraph) as int) as n from documents left join j using (doc_id) group by 1) "
+    "select doc_id, ordinal, kind, v.text from documents, (values (0, 'title', 'A Study of Words in Long Texts'), (1, 'heading', ''), (2, 'para', 'We study.'), (3, 'heading', '1 Introduction')) v(ordinal, kind, text) "
+    "union all select doc_id, 4 + paragraph, 'para', text from j "
+    "union all select doc_id, n + ordinal, kind, v.text from n, (values (4, 'figure', 'A cap.'), (5, 'heading', ''), (6, 'ref', '')) v(ordinal, kind, text)"
+)
 def pdf_line_units(spark, folder):
     docs = A.table(spark, folder, "documents")
     front = ["A Study of Words in Long Texts", "Abstract", "We study.", "1", "Introduction"]
@@ -744,13 +769,18 @@ def pdf_line_units(spark, folder):
     return pdf_lines.digest_lines(docs.select("doc_id", lines.alias("lines"))).select("doc_id", "ordinal", "kind", "text")
 
 
-GLOSSARY = "| Термин | x | y |\n|---|---|---|\n| read (RD) | рид, чтение (x) | gloss |\n| taxon | таксон | не переводить |"
-
-
-@query("select * from (values ('read (RD)', 'read|RD', 'рид|чтение', 'gloss', 'first'), ('taxon', 'taxon', 'таксон', '', 'never')) t(label, en, ru, gloss, paren_en)")
+@query(
+    "select doc_id, pos, label, en, ru, gloss, paren_en from (select doc_id, 2 as pos, source || doc_id || ' (D' || doc_id || ')' as label, source || doc_id || '|D' || doc_id as en, lang || '|alt' as ru, case when doc_id % 3 = 0 then regexp_extract(\"text\", '^\\S+') else '' end as gloss, case when doc_id % 3 = 1 then 'never' else 'first' end as paren_en from documents "
+    "union all select doc_id, 3, 'n' || n_chars, 'n' || n_chars, source, '', 'first' from documents)"
+)
 def glossary_table(spark, folder):
-    rows = glossary.parse_table(spark.createDataFrame([(GLOSSARY,)], "markdown string"))
-    return rows.select("label", F.array_join("en", "|").alias("en"), F.array_join("ru", "|").alias("ru"), "gloss", "paren_en")
+    """A table of two terms of each document: its source, with the first word, a ban or a remark as the note; its length."""
+    docs = A.table(spark, folder, "documents").withColumn("n", F.col("doc_id").cast("string"))
+    note = F.when(F.col("doc_id") % 3 == 0, F.regexp_extract("text", r"^\S+", 0)).when(F.col("doc_id") % 3 == 1, "не переводить").otherwise("при первом употреблении")
+    lines = ["| Термин | x | y |", "|---|---|---|", F.concat(F.lit("| "), "source", "n", F.lit(" (D"), "n", F.lit(") | "), "lang", F.lit(", alt (x) | "), note, F.lit(" |")), F.concat(F.lit("| n"), "n_chars", F.lit(" | "), "source", F.lit(" |"))]
+    rows = docs.select("doc_id", F.concat_ws("\n", *(F.lit(x) if isinstance(x, str) else x for x in lines)).alias("markdown"))
+    found = glossary.parse_table(rows, keep=["doc_id"])
+    return found.select("doc_id", "pos", "label", F.array_join("en", "|").alias("en"), F.array_join("ru", "|").alias("ru"), "gloss", "paren_en")
 
 
 @query("select distinct w as word, case when length(w) >= 5 then lower(w[1:length(w) - 2]) when length(w) = 4 then lower(w[1:3]) else lower(w) end as stem from (select unnest(string_split(\"text\", ' ')) as w from documents)")

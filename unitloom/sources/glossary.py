@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +41,14 @@ def stems(ru: Column) -> Column:
     return F.flatten(F.transform(ru, lambda alt: F.transform(X.matches(alt, r"(?U)[\w-]+"), lambda w: X.stem(w))))
 
 
-def parse_table(markdown: DataFrame, text: str = "markdown") -> DataFrame:
-    """Terms of Markdown tables, in order of place (pos); header and rule rows left out."""
-    lines = markdown.select(F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line")).where(F.col("line").rlike(r"^\|(.+)\|\s*$"))
+def parse_table(markdown: DataFrame, text: str = "markdown", keep: Sequence[str] = ()) -> DataFrame:
+    """Terms of Markdown tables with their place (pos) and the columns in keep; header and rule rows left out."""
+    lines = markdown.select(*keep, F.posexplode(F.split(text, r"\r?\n")).alias("pos", "line")).where(F.col("line").rlike(r"^\|(.+)\|\s*$"))
     cells = F.transform(F.split(F.regexp_extract("line", r"^\|(.+)\|\s*$", 1), r"\|"), lambda x: F.trim(x))
-    rows = lines.select("pos", cells.alias("c")).where(F.size("c") >= 2).where(~F.get("c", F.lit(0)).isin(HEADER, "") & ~F.get("c", F.lit(0)).rlike("^[-:]+$"))
+    rows = lines.select(*keep, "pos", cells.alias("c")).where(F.size("c") >= 2).where(~F.get("c", F.lit(0)).isin(HEADER, "") & ~F.get("c", F.lit(0)).rlike("^[-:]+$"))
     first, second = F.get("c", F.lit(0)), F.get("c", F.lit(1))
-    rows = rows.select("pos", first.alias("label"), split_source(first).alias("en"), split_target(second).alias("ru"), second.alias("ru_raw"), classified(F.get("c", F.lit(2))).alias("k"))
-    return rows.select("pos", "label", "en", "ru", "ru_raw", "k.note", stems(F.col("ru")).alias("ru_stems"), "k.gloss", "k.paren_en")
+    rows = rows.select(*keep, "pos", first.alias("label"), split_source(first).alias("en"), split_target(second).alias("ru"), second.alias("ru_raw"), classified(F.get("c", F.lit(2))).alias("k"))
+    return rows.select(*keep, "pos", "label", "en", "ru", "ru_raw", "k.note", stems(F.col("ru")).alias("ru_stems"), "k.gloss", "k.paren_en")
 
 
 def read_terms(spark: SparkSession, path: str, markdown: str | None = None) -> DataFrame:
