@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Patterns that results depend on.
 PLACEHOLDER = r"⟦[A-Z]\d+⟧"
-NUMBER = r"(?U)(?<![\w.])[−-]?\d+(?:[.,]\d+)*(?:[–-]\d+(?:[.,]\d+)*)?%?"
+NUMBER = r"(?U)(?=[\d−-])(?<![\w.])[−-]?\d+(?:[.,]\d+)*(?:[–-]\d+(?:[.,]\d+)*)?%?"
 LINK = r"(?U)https?://[^\s)\]>]+|doi:\s*10\.\d{4,9}/\S+"
 IMAGE = r"!\[[^\]]*\]\(assets/([^)\s]+)\)"
 CITATION = r"(?U)\[\d+(?:\s*[,–-]\s*\d+)*\]"
@@ -123,10 +123,11 @@ def mask_protected(text: Column, terms: list[str], patterns: list[str] = ()) ->
 
 
 def normal_numbers(text: Column, target: bool) -> Column:
-    """Numbers in one notation: rare spaces plain, '5 %' closed up, thousands joined (commas in a source, spaces in a target)."""
+    """Numbers in one notation: rare spaces plain, '5 %' closed up, thousands joined (commas in a source, spaces in a target). The
+    patterns ask for their rarest character first."""
     t = F.regexp_replace(strip_placeholders(text), r"[\u00a0\u2009\u202f]", " ")
-    t = F.regexp_replace(t, r"(?U)(?<=\d) %", "%")
-    return F.regexp_replace(t, r"(?U)(?<=\d) (?=\d{3}\b)" if target else r"(?U)(?<=\d),(?=\d{3}\b)", "")
+    t = F.regexp_replace(t, r"(?U) (?<=\d )%", "%")
+    return F.regexp_replace(t, r"(?U) (?<=\d )(?=\d{3}\b)" if target else r"(?U),(?<=\d,)(?=\d{3}\b)", "")
 
 
 def number_tokens(text: Column, target: bool = False) -> Column:
@@ -135,7 +136,7 @@ def number_tokens(text: Column, target: bool = False) -> Column:
 
 def decimal_points(text: Column) -> Column:
     """Commas between digits to points."""
-    return F.regexp_replace(text, r"(?U)(?<=\d),(?=\d)", ".")
+    return F.regexp_replace(text, r"(?U),(?<=\d,)(?=\d)", ".")
 
 
 # sentences, words, stems -----------------------------------------------------------------------------------------------

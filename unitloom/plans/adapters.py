@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.terms import Term
+from ..session import spread
 
 #: Appended to a document to make a source text; {id} is its doc_id.
 TAIL = " The score 0.95 rose in 1,000 cases of {id}, it may not hold for 5 % [1] and [2, 3], see https://example.org/d{id} and doi:10.1093/x{id}"
@@ -19,7 +20,7 @@ TERMS = [Term("the", ("the", "THX"), ("des",), "des"), Term("from", ("from",), (
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,3 +32,11 @@ def cut(df):
             at = tempfile.mkdtemp(prefix="unitloom-")
         context.setCheckpointDir(at)
     return df.checkpoint()
+
+
+def spread(df, least: int = 1 << 20, split: int = 128 << 20):
+    """df dealt to all cores if its files are small: one file of one row group would keep a single core busy. Files of `split` bytes a
+    core or more have enough row groups and are read as they lie, without a shuffle; so are those under `least` bytes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if least <= size < split * cores else df
