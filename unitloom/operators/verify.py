@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as X
+from ..session import cut
 from .terms import Term, abbreviation_issues, consistency_issues, first_mention_issues, missing_terms, term_mentions, with_matches
 
 COLUMNS = ("doc_id", "unit_id", "check", "severity", "message")
@@ -79,7 +80,8 @@ def body_issues(bodies: DataFrame) -> DataFrame:
 
 def verify(units: DataFrame, translations: DataFrame, bodies: DataFrame, terms: list[Term], lexicon: R.Lexicon = R.Lexicon(), exceptions: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:  # noqa: B008
     """All issues: doc_id, unit_id ('-' for the document), check, severity, message."""
-    pairs = with_matches(translated_pairs(units, translations, exceptions), terms)
+    # six rules read the pairs: written once, their joins and their matching are not worked out for each
+    pairs = cut(with_matches(translated_pairs(units, translations, exceptions), terms))
     return union_all(status_issues(translations), unit_issues(pairs, terms, lexicon), document_issues(pairs, terms), body_issues(bodies), figure_issues(units, bodies, files))
 
 
