@@ -215,3 +215,17 @@ def test_pipeline(spark):
     assert result.gate.first().exit_code == 0, result.issues.collect()
     assert result.bodies.first().body == "# рид (read; фрагмент)\n\nОценка 0.95 для наименьший общий предок.\n"
     assert {r.repaired for r in result.translations.collect()} == {None, "mechanical"}
+
+
+def test_reviews_pages_and_repair_reports_are_written(spark, tmp_path):
+    read = lambda name, key: {r[key]: r.value for r in spark.read.text(str(tmp_path / name), wholetext=True).collect()}
+    sinks.write_reviews(spark.createDataFrame([("a", "# R\n\nx"), ("b", "y")], "doc_id string, review string"), str(tmp_path / "reviews"))
+    assert {k: v.rstrip("\n") for k, v in read("reviews", "doc_id").items()} == {"a": "# R\n\nx", "b": "y"}
+    row = ("2020-a", "T", ["A B"], "10.1/x", None, "https://e.org/", "J", 2020, "CC-BY", "# T\n\nbody")
+    papers = spark.createDataFrame([row], "slug string, title string, authors array<string>, doi string, pdf string, url string, journal string, year int, license string, body string")
+    sinks.write_index(papers, str(tmp_path / "index"))
+    page = read("index", "doc_id")["2020-a"]
+    assert page.startswith("# T\n\n> **Неофициальный перевод.**") and "10.1/x" in page and page.rstrip("\n").endswith("body")
+    report = spark.createDataFrame([(1, "a", "u001", True), (2, "a", "u002", False)], "round int, doc_id string, unit_id string, fixed boolean")
+    sinks.write_repair_report(report, str(tmp_path / "report"))
+    assert sorted(map(tuple, spark.read.json(str(tmp_path / "report")).select("round", "doc_id", "unit_id", "fixed").collect())) == sorted(map(tuple, report.collect()))

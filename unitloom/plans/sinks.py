@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.render import published_body
 from ..schemas import STATE
 
 
@@ -19,6 +20,21 @@ def write_bodies(bodies: DataFrame, path: str) -> None:
     bodies.select("doc_id", F.col("body").alias("value")).write.mode("overwrite").partitionBy("doc_id").option("lineSep", "\n").text(path)
 
 
+def write_reviews(reviews: DataFrame, path: str) -> None:
+    """Review packs (doc_id, review), as write_bodies() writes bodies."""
+    write_bodies(reviews.select("doc_id", F.col("review").alias("body")), path)
+
+
+def write_index(papers: DataFrame, path: str) -> None:
+    """Published pages: title line, attribution and the rest of the body of papers (slug and the columns of published_body())."""
+    write_bodies(papers.select(F.col("slug").alias("doc_id"), published_body(papers).alias("body")), path)
+
+
+def write_repair_report(report: DataFrame, path: str) -> None:
+    """Outcomes of repair() (round, doc_id, unit_id, fixed), a JSON row each, in folders by round."""
+    report.write.mode("overwrite").partitionBy("round").json(path)
+
+
 def write_catalog(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
