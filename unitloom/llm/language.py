@@ -20,6 +20,8 @@ START = "▁"
 #: Forward sums of so many characters are scaled at once, each by its own logarithm, so that words of any length keep their sum.
 STRETCH = 8
 UNKNOWN = 1e-7
+#: What a hash that is no piece stands for: the beginning of pieces, or nothing.
+BEGINNING, NOTHING = -1, -2
 #: Pieces' places of so many characters (words times length) are held at once.
 HELD = 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -54,7 +56,8 @@ def vocabulary(path: str) -> list[str]:
 class Lattice:
     """Piece places in many words at once. ids[n, i, l - 1] is the piece word n has at place i over l characters, -1 for none.
 
-    Pieces are found by 64-bit hashes in an open table; hashes of substrings come from prefix sums.
+    Pieces are found by 64-bit hashes in an open table; hashes of substrings come from prefix sums. The table has the beginnings of all
+    pieces too, so a place is looked up only as long as some piece goes on there.
     """
 
     SLOTS = 1 << 19
@@ -62,15 +65,18 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         self.widest = max(map(len, pieces), default=1)
         self.size = len(pieces)
-        flat, at = self.flat(pieces)
-        keys = self.hashes(flat, at[:-1], np.diff(at))
+        codes = {p[:n]: BEGINNING for p in pieces for n in range(1, len(p))} | {p: i for i, p in enumerate(pieces)}
+        flat, at = self.flat(list(codes))
+        keys, held = self.hashes(flat, at[:-1], np.diff(at)), np.fromiter(codes.values(), np.int32, len(codes))
         self.keys = np.zeros(self.SLOTS, np.uint64)
-        self.held = np.full(self.SLOTS, -1, np.int32)
-        for i, h in enumerate(keys.tolist()):
-            slot = h >> 45
-            while self.held[slot] >= 0:
-                slot = (slot + 1) % self.SLOTS
-            self.keys[slot], self.held[slot] = h, i
+        self.held = np.full(self.SLOTS, NOTHING, np.int32)
+        slot, owner, open_ = (keys >> np.uint64(45)).astype(np.int64), np.full(self.SLOTS, -1), np.arange(len(keys))
+        while len(open_):  # all at once; of several that want a free slot one gets it, the others try the next
+            wanting = open_[owner[slot[open_]] < 0]
+            owner[slot[wanting]] = wanting
+            open_ = open_[owner[slot[open_]] != open_]
+            slot[open_] = (slot[open_] + 1) % self.SLOTS
+        self.keys[slot], self.held[slot] = keys, held
 
     @staticmethod
     def flat(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,17 +94,17 @@ class Lattice:
         return mix((sums[start + size] - sums[start]) * powers(BASE & MASK, len(chars) + 1)[start], 4)
 
     def find(self, h: np.ndarray) -> np.ndarray:
+        """The piece of each hash; BEGINNING if it only begins one, NOTHING if not even that."""
         slot = (h >> np.uint64(45)).astype(np.int64)
-        out = np.full(h.shape, -1, np.int32)
-        open_ = np.arange(h.size)
-        flat, slots, result = h.ravel(), slot.ravel(), out.ravel()
+        out = np.full(len(h), NOTHING, np.int32)
+        open_ = np.arange(len(h))
         while len(open_):
-            held = self.held[slots[open_]]
-            same = (held >= 0) & (self.keys[slots[open_]] == flat[open_])
-            result[open_[same]] = held[same]
-            open_ = open_[(held >= 0) & ~same]
-            slots[open_] = (slots[open_] + 1) % self.SLOTS
-        return result.reshape(h.shape)
+            held = self.held[slot[open_]]
+            same = (held != NOTHING) & (self.keys[slot[open_]] == h[open_])
+            out[open_[same]] = held[same]
+            open_ = open_[(held != NOTHING) & ~same]
+            slot[open_] = (slot[open_] + 1) % self.SLOTS
+        return out
 
     def ids(self, words: list[str]) -> np.ndarray:
         """Of words that all have the same length."""
@@ -106,13 +112,14 @@ class Lattice:
         chars, at = self.flat(words)
         sums, power = self.prefix(chars), powers(BASE & MASK, len(chars) + 1)
         width = min(self.widest, length)
-        out = np.empty((len(chars), width), np.int32)
+        out = np.full((len(chars), width), -1, np.int32)
         room = length - np.arange(len(chars)) % length
-        for k in range(0, len(chars), HELD // 4):
-            start = np.arange(k, min(k + HELD // 4, len(chars)))
-            size = np.minimum(np.arange(1, width + 1), room[start][:, None])
-            found = self.find(mix((sums[start[:, None] + size] - sums[start][:, None]) * power[start][:, None], 4))
-            out[start] = np.where(np.arange(1, width + 1) <= room[start][:, None], found, -1)
+        start = np.arange(len(chars))
+        for size in range(1, width + 1):
+            start = start[room[start] >= size]
+            found = self.find(mix((sums[start + size] - sums[start]) * power[start], 4))
+            out[start, size - 1] = np.maximum(found, -1)
+            start = start[found != NOTHING]
         return out.reshape(len(words), length, width)
 
     def ending(self, words: list[str]) -> np.ndarray:
@@ -140,8 +147,8 @@ def forward(lattice: Lattice, words: list[str], theta: np.ndarray) -> np.ndarray
     zeros, for no piece. A character that no piece matches alone counts as unknown. The words are read in stretches, and only the
     sums at the last `widest` places are held, scaled by each word's and language's own factor."""
     length, widest = len(words[0]), min(lattice.widest, len(words[0]))
-    ring = np.zeros((len(words), widest, theta.shape[1]))  # ring[:, l - 1]: sum at the place l characters back
-    ring[:, 0] = 1
+    ring = np.zeros((widest, len(words), theta.shape[1]))  # ring[j % widest]: sum at place j
+    ring[0] = 1
     scale = np.zeros((len(words), theta.shape[1]))
     step = max(4 * widest, HELD // len(words))
     for p in range(0, length, step):
@@ -149,16 +156,19 @@ def forward(lattice: Lattice, words: list[str], theta: np.ndarray) -> np.ndarray
         ends = lattice.ending([w[lo : p + step] for w in words])
         for j in range(p + 1, min(p + step, length) + 1):
             piece = ends[:, j - 1 - lo]
+            there = piece >= 0
+            there[:, 0] = True
+            word, back = np.nonzero(there)  # in order of words, each with one character back first
+            piece = piece[word, back]
             part = theta[piece]
-            part[:, 0] = np.where((piece[:, 0] < 0)[:, None], UNKNOWN, part[:, 0])
-            now = (ring[:, : part.shape[1]] * part).sum(1)
-            ring[:, 1:] = ring[:, :-1].copy()
-            ring[:, 0] = now
+            part[piece < 0] = UNKNOWN
+            part *= ring[(j - 1 - back) % widest, word]
+            ring[j % widest] = np.add.reduceat(part, np.flatnonzero(back == 0), axis=0)
             if j % STRETCH == 0:
-                top = np.maximum(ring.max(1), 1e-300)
-                ring /= top[:, None]
+                top = np.maximum(ring.max(0), 1e-300)
+                ring /= top
                 scale += np.log(top)
-    return np.log(ring[:, 0]) + scale
+    return np.log(ring[length % widest]) + scale
 
 
 def log_sums(ids: np.ndarray, logs_of: np.ndarray) -> np.ndarray:
