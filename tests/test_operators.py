@@ -94,6 +94,25 @@ def test_translate_retries(spark):
     assert got == {"u1": ("ok", "ok ⟦N1⟧", None), "u2": ("needs_repair", "", "down"), "u3": ("needs_repair", "no mark", "missing placeholders: ⟦N1⟧")}
 
 
+def test_translations_are_kept(spark, tmp_path):
+    rows = spark.createDataFrame([("d", f"u{k}", f"text {k} ⟦N1⟧", f"p{k}") for k in range(7)], "doc_id string, unit_id string, text string, prompt string")
+
+    def answering(name, failing):
+        def translator(talk):
+            if talk[1]["content"] in failing:
+                raise RuntimeError("down")
+            return f"{name} {talk[1]['content']} ⟦N1⟧"
+
+        return translator
+
+    run = lambda rows, name, *failing: {r.unit_id: (r.status, r.text) for r in translate.translate_kept(rows, answering(name, failing), "s", str(tmp_path / "kept"), parts=3).collect()}
+    first = run(rows.where("unit_id <> 'u6'"), "A", "p1", "p2")
+    assert first == {f"u{k}": ("needs_repair", "") if k in (1, 2) else ("ok", f"A p{k} ⟦N1⟧") for k in range(6)}
+    second = run(rows, "B", "p2")  # asks for what failed and for what is new
+    assert second == {f"u{k}": ("ok", f"{'B' if k in (1, 6) else 'A'} p{k} ⟦N1⟧") for k in (0, 1, 3, 4, 5, 6)} | {"u2": ("needs_repair", "")}
+    assert run(rows.limit(0), "C") == {}
+
+
 @pytest.mark.parametrize(
     ("source", "target", "want"),
     [("a 0.95 b 3", "в 0,95 г 4", "в 0.95 г 3"), ("a 0.95", "в 0,95 и 7", "в 0.95 и 7"), ("⟦N1⟧ 1,000", "⟦N1⟧ 1,000", "⟦N1⟧ 1,000"), ("x 5 ⟦C12⟧", "⟦C12⟧ 6 x", "⟦C12⟧ 5 x")],

@@ -137,3 +137,22 @@ def test_glossary(spark, tmp_path):
     assert terms[1].note and terms[1].first_form == "рид (read)" and terms[2].paren_en == "never"
     glossary.write_terms(rows.drop("pos"), str(tmp_path / "terms"))
     assert sorted(t.label for t in glossary.collect_terms(glossary.read_terms(spark, str(tmp_path / "terms")))) == ["OTU", "a", "lowest common ancestor (LCA)", "read"]
+
+
+def test_folder_of_papers(spark, tmp_path):
+    def paper(slug, meta, body=None):
+        (tmp_path / slug).mkdir()
+        (tmp_path / slug / "meta.json").write_text(meta)
+        if body is not None:
+            (tmp_path / slug / "index.md").write_text(body)
+
+    paper("2019-old", '{"title": "Old", "year": 2019,\n "status": "published"}', "# Old\n\nbody\n")
+    paper("2021-new", '{"title": "New", "year": 2021, "status": "reviewed", "slug": "other"}', "# New\n")
+    paper("2020-no-body", '{"title": "B", "year": 2020, "status": "published"}')
+    paper("Draft", '{"title": "D", "status": "not-started"}', "# D\n")
+    (tmp_path / "notes.md").write_text("not a paper")
+    got = landing.published(landing.scan_papers(spark, str(tmp_path))).select("slug", "title", "body").collect()
+    assert [tuple(r) for r in got] == [("2021-new", "New", "# New\n"), ("2019-old", "Old", "# Old\n\nbody\n")]
+    paper("Bad_Slug", '{"title": "X", "status": "published"}', "# X\n")
+    with pytest.raises(Exception, match="bad slug"):
+        landing.published(landing.scan_papers(spark, str(tmp_path))).collect()

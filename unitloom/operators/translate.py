@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import cut
 from .terms import Term, introduced, with_matches
 
 RETRIES = 2
+RESULT = "doc_id string, unit_id string, status string, text string, error string"
 SPOKEN = ("para", "figure", "supplementary")
 
 
@@ -87,6 +89,23 @@ def translate(rows: DataFrame, translator: Callable[[list[dict]], str], system:
             made = [attempt(t, p) for t, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([m[k] for m in made], pa.string()) for k in range(3))], names=["doc_id", "unit_id", "status", "text", "error"])
 
-    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "unit_id", "text", "prompt").mapInArrow(run, "doc_id string, unit_id string, status string, text string, error string")
-
-
+    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "unit_id", "text", "prompt").mapInArrow(run, RESULT)
+
+
+def translate_kept(rows: DataFrame, translator: Callable[[list[dict]], str], system: str, path: str, parts: int = 64, retries: int = RETRIES) -> DataFrame:
+    """translate() with results kept under path: units are dealt by hash to `parts` jobs, whose results are appended one job after the
+    other. A later call asks only for units that have no ok result there, so a run that was stopped loses one job at most. Of several
+    results of a unit an ok one counts, then the latest."""
+    spark = rows.sparkSession
+    schema = f"{RESULT}, at timestamp"
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)  # so that the first run has a table to read
+    kept = lambda: spark.read.schema(schema).parquet(path)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    left = cut(rows.select("doc_id", "unit_id", "text", "prompt").join(kept().where("status = 'ok'").select("doc_id", "unit_id"), ["doc_id", "unit_id"], "left_anti"))
+    part = F.pmod(F.xxhash64("doc_id", "unit_id"), F.lit(parts))
+    for k in range(0 if left.isEmpty() else parts):
+        made = translate(left.where(part == k), translator, system, retries)
+        made.withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
+    best = F.max_by(F.struct("status", "text", "error"), F.struct(F.col("status") == "ok", F.col("at")))
+    asked = rows.select("doc_id", "unit_id").distinct()
+    return kept().join(asked, ["doc_id", "unit_id"], "left_semi").groupBy("doc_id", "unit_id").agg(best.alias("b")).select("doc_id", "unit_id", "b.*")

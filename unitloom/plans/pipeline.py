@@ -26,20 +26,20 @@ class Result:
     bodies: DataFrame
 
 
-def translated(units: DataFrame, translations: DataFrame | None, translator, system: str, terms: list[Term]) -> DataFrame:
-    """translations brought up to date: units with an ok row are not asked for again."""
+def translated(units: DataFrame, translations: DataFrame | None, translator, system: str, terms: list[Term], keep: str | None = None) -> DataFrame:
+    """translations brought up to date: units with an ok row are not asked for again. keep: a path where results are kept as they come."""
     todo = translate.prompts(units, terms).where("translate")
     if translations is not None:
         todo = todo.join(translations.where("status = 'ok'").select("doc_id", "unit_id"), ["doc_id", "unit_id"], "left_anti")
-    made = translate.translate(todo, translator, system)
+    made = translate.translate_kept(todo, translator, system, keep) if keep else translate.translate(todo, translator, system)
     made = made.select("*", F.lit(None).cast("string").alias("repaired"), F.lit(None).cast("boolean").alias("manual"))
     return made if translations is None else repair.overlay(translations, made)
 
 
-def run(docs: DataFrame, translator, terms: list[Term], lexicon: R.Lexicon, system: str = "", translations: DataFrame | None = None, protected: dict | None = None) -> Result:
-    """docs: doc_id, raw (JATS). translator: chat messages -> text."""
+def run(docs: DataFrame, translator, terms: list[Term], lexicon: R.Lexicon, system: str = "", translations: DataFrame | None = None, protected: dict | None = None, keep: str | None = None) -> Result:
+    """docs: doc_id, raw (JATS). translator: chat messages -> text. keep: see translated()."""
     units = cut(jats.digest(docs, "raw", protected))
-    results = cut(translated(units, translations, translator, system, terms))
+    results = cut(translated(units, translations, translator, system, terms, keep))
     source = cut(render.render(units).withColumnRenamed("body", "body_source"))
 
     def check(rows: DataFrame) -> DataFrame:

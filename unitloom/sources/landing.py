@@ -49,9 +49,18 @@ def dispatched(papers: DataFrame) -> DataFrame:
     return papers.withColumns({"source_kind": kind, "source_url": url, "source_error": error})
 
 
-def read_papers(spark: SparkSession, path: str) -> DataFrame:
-    """Paper metadata, a JSON object each (schema fixed, corrupt files fail)."""
-    return spark.read.schema(PAPER).option("mode", "FAILFAST").option("multiLine", "true").json(path)
+def read_papers(spark: SparkSession, path: str, files: str = "*") -> DataFrame:
+    """Paper metadata, a JSON object each (schema fixed, corrupt files fail). files: the names of the files to read."""
+    return spark.read.schema(PAPER).option("pathGlobFilter", files).option("mode", "FAILFAST").option("multiLine", "true").json(path)
+
+
+def scan_papers(spark: SparkSession, root: str) -> DataFrame:
+    """Papers of a folder with one folder a paper, named by its slug: metadata in meta.json, the body in index.md (null without)."""
+    slug = F.element_at(F.split("_metadata.file_path", "/"), -2).alias("slug")
+    meta = read_papers(spark, f"{root}/*", "meta.json")
+    meta = meta.select(slug, *[c for c in PAPER.names if c not in ("slug", "body")])
+    bodies = spark.read.option("pathGlobFilter", "index.md").text(f"{root}/*", wholetext=True).select(slug, F.col("value").alias("body"))
+    return meta.join(bodies, "slug", "left").select(*PAPER.names)
 
 
 def published(papers: DataFrame) -> DataFrame:
