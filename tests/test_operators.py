@@ -138,6 +138,11 @@ def test_repair_round(spark):
     assert {r.unit_id for r in left.collect()} == {"u002"}
 
 
+def test_citation_changed_to_a_number_that_is_there_is_not_accepted(spark):
+    rows = spark.createDataFrame([("1 of 4 [1]", "1 of 4 [4]"), ("1 of 4 [1]", "4 of 1 [1]")], "s string, t string")
+    assert [r[0] for r in rows.select(repair.rules_pass(F.col("s"), F.col("t"), R.Lexicon())).collect()] == [False, True]
+
+
 def test_manual_fix(spark):
     us = frame(spark, [unit("d", 0, "a ⟦N1⟧")])
     results = done(spark, [("d", "u001", "needs_repair", "x")])

@@ -49,13 +49,19 @@ def same_links(source: Column, target: Column) -> Column:
     return X.matches(source, X.LINK) == X.matches(target, X.LINK)
 
 
+def same_citations(source: Column, target: Column) -> Column:
+    return X.matches(source, X.CITATION) == X.matches(target, X.CITATION)
+
+
 def rules_pass(source: Column, target: Column, lexicon: R.Lexicon) -> Column:
-    return ~F.exists(R.unit_rules(source, target, lexicon), lambda i: i["severity"] == "FAIL") & same_links(source, target)
+    """Whether no rule of the unit fails, and links and citations are the source's, in order. Numbers are compared by presence, so a
+    citation changed to a number that the text has anyway would not show there."""
+    return ~F.exists(R.unit_rules(source, target, lexicon), lambda i: i["severity"] == "FAIL") & same_links(source, target) & same_citations(source, target)
 
 
 def accepted(units: DataFrame, candidates: DataFrame, terms: list[Term], lexicon: R.Lexicon) -> DataFrame:
-    """candidates (doc_id, unit_id, text) that raise no FAIL by themselves and keep the links. Exceptions and the rules of whole
-    documents are not asked."""
+    """candidates (doc_id, unit_id, text) that raise no FAIL by themselves and keep the links and citations. Exceptions and the other
+    rules of whole documents are not asked."""
     pairs = with_matches(translated_pairs(units, candidates.select("doc_id", "unit_id", "text", F.lit("ok").alias("status"))).where("target is not null"), terms)
     lost = missing_terms(pairs, terms).select("doc_id", "unit_id").distinct()
     return pairs.where(rules_pass(F.col("text"), F.col("target"), lexicon)).join(lost, ["doc_id", "unit_id"], "left_anti").select("doc_id", "unit_id", F.col("target").alias("text"))
