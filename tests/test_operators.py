@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from unitloom.functions import rules as R
 from unitloom.operators import catalog, render, repair, translate, validate, verify
-from unitloom.operators.terms import Term, introduced, term_matcher, with_matches
+from unitloom.operators.terms import Term, introduced, term_matcher, unit_findings, with_matches
 from unitloom.plans import pipeline, sinks
 from unitloom.schemas import PAPER, TRANSLATION, UNIT
 from unitloom.streaming import gate
@@ -58,6 +58,19 @@ def test_missing_terms_and_exceptions(spark):
     assert [(r.unit_id, r.message) for r in got] == [("u001", "term missing: read → рид")]
 
 
+def test_whole_verification_keeps_no_text_and_finds_what_the_rules_find(spark):
+    units = frame(spark, [unit("d", 0, "read of 5 not"), unit("d", 1, "the LCA read"), unit("d", 2, "gone", kind="figure", graphics=["g.png"]), unit("d", 3, "read may")])
+    results = done(spark, [("d", "u001", "ok", "6"), ("d", "u002", "ok", "(LCA) рид (read)"), ("d", "u003", "needs_repair", "?"), ("d", "u004", "ok", "рид (read) чтение")])
+    bodies = spark.createDataFrame([("d", "[1] ![](assets/g.png)", "[2]")], "doc_id string, body_source string, body_target string")
+    pairs = verify.translated_pairs(units, results)
+    kept = unit_findings(pairs, TERMS, R.unit_rules(F.col("text"), F.col("target"))).columns
+    assert not {"text", "target", "plain", "plain_target"} & set(kept)
+    matched = with_matches(pairs, TERMS)
+    parts = verify.union_all(verify.status_issues(results), verify.unit_issues(matched, TERMS, LEXICON), verify.document_issues(matched, TERMS), verify.body_issues(bodies), verify.figure_issues(units, bodies))
+    got = sorted(map(tuple, verify.verify(units, results, bodies, TERMS).collect()))
+    assert got == sorted(map(tuple, parts.collect())) and {"numbers", "negation", "glossary", "first_mention", "structure", "citations", "figures", "status", "hedging"} <= {r[2] for r in got}
+
+
 def test_gate(spark):
     issues = spark.createDataFrame([("a", "-", "x", "FAIL", "m"), ("a", "-", "x", "WARN", "m"), ("b", "-", "x", "WARN", "m")], "doc_id string, unit_id string, check string, severity string, message string")
     docs = spark.createDataFrame([("a",), ("b",), ("c",)], "doc_id string")
