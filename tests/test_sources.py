@@ -156,3 +156,17 @@ def test_folder_of_papers(spark, tmp_path):
     paper("Bad_Slug", '{"title": "X", "status": "published"}', "# X\n")
     with pytest.raises(Exception, match="bad slug"):
         landing.published(landing.scan_papers(spark, str(tmp_path))).collect()
+
+
+def test_long_batches_are_worked_in_slices(spark):
+    import pyarrow as pa
+
+    from unitloom.session import slices
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1000)), "t": ["x" * 10] * 999 + ["y" * (3 << 20)]})
+    parts = list(slices([batch, batch.slice(0, 0)]))
+    assert max(p.num_rows for p in parts) <= 256 and pa.Table.from_batches(parts).column("k").to_pylist() == list(range(1000))
+    raw = "<article><front><article-meta><title-group><article-title>T</article-title></title-group></article-meta></front><body><p>P</p></body></article>"
+    docs = spark.range(0, 700, 1, 1).select(F.col("id").alias("doc_id"), F.lit(raw).alias("raw"))
+    sizes = jats.digest(docs).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+    assert sorted(jats.digest(docs).groupBy("doc_id").count().select("count").distinct().collect()) == [(2,)] and sum(r.n for r in sizes.collect()) == 1400

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import bounded_batches as bounded_batches
+
 #: Regular expression of a word: a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most so many bytes may be broadcast; above it joins shuffle.
@@ -63,13 +65,6 @@ class Scratch:
             pass
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Caps the rows of an Arrow batch, so that a Python worker holds few long texts at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
-
-
 def small(table: DataFrame) -> bool:
     """Whether a (written) table takes at most BROADCAST_BYTES: its strings' bytes, 8 a number and 16 a row are added up."""
     wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, f in zip(quoted(*table.columns), table.schema.fields, strict=True) if isinstance(f.dataType, T.StringType | T.BinaryType)]
