@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..schemas import MATCHES
-from ..session import slices
+from ..session import bounded_batches, slices
 
 
 @dataclass(frozen=True)
@@ -110,6 +110,7 @@ def with_matches(units: DataFrame, terms: list[Term], text: str = "plain", to: s
             found = [[{"label": a, "pos": b} for a, b in match(t)] for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, to])
 
+    bounded_batches(units.sparkSession)
     return units.mapInArrow(run, schema)
 
 
